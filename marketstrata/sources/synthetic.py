@@ -1,0 +1,87 @@
+"""Reproducible made-up market rows, one per id of a distributed id source."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marketstrata.contracts import SYNTHETIC
+from marketstrata.operators.conform import fit_contract
+
+# The coins, and the ranges of the drawn figures.
+COINS = [
+    ("bitcoin", "BTC", "Bitcoin"),
+    ("ethereum", "ETH", "Ethereum"),
+    ("cardano", "ADA", "Cardano"),
+    ("solana", "SOL", "Solana"),
+    ("ripple", "XRP", "XRP"),
+]
+PRICE_RANGE = (10.0, 50_000.0)
+SUPPLY_RANGE = (1e6, 1e9)
+TURNOVER_RANGE = (1e4, 1e7)
+CHANGE_RANGE = (-0.1, 0.1)
+MAX_AGE_MINUTES = 60
+
+_MODULUS = 2_147_483_647
+_MULTIPLIER = 48_271
+
+
+def draws(row_id: str | Column, seed: int, count: int) -> list[Column]:
+    """``count`` integers in ``[0, 2^31 - 2]`` per row, a function of id and seed alone.
+
+    A multiplicative generator, so the values do not depend on partitioning or retries and can
+    be recomputed in any SQL engine.
+    """
+    key = F.col(row_id) if isinstance(row_id, str) else row_id
+    state = F.pmod(key.cast("bigint"), F.lit(_MODULUS))
+    found = []
+    for i in range(count):
+        mixed = state + F.lit(seed + 1 + i * 7_919).cast("bigint")
+        for _ in range(3):
+            mixed = F.pmod(mixed * F.lit(_MULTIPLIER), F.lit(_MODULUS))
+        found.append(mixed)
+    return found
+
+
+def _between(draw: Column, bounds: tuple[float, float]) -> Column:
+    low, high = bounds
+    return F.lit(low) + draw.cast("double") / F.lit(float(_MODULUS)) * F.lit(high - low)
+
+
+def synthetic_market_rows(
+    ids: DataFrame, row_id: str, now: dt.datetime | Column, run_id: str, seed: int = 42
+) -> DataFrame:
+    """One market row per row of ``ids``."""
+    coin, price, supply, turnover, change, age = draws(row_id, seed, 6)
+    moment = now if isinstance(now, Column) else F.lit(now)
+    coins = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(c, "abc", strict=True)]) for c in COINS])
+    drawn = ids.select(
+        coins[F.pmod(coin, F.lit(len(COINS))).cast("int")].alias("coin"),
+        _between(price, PRICE_RANGE).alias("price_usd"),
+        _between(supply, SUPPLY_RANGE).alias("supply"),
+        _between(turnover, TURNOVER_RANGE).alias("turnover"),
+        _between(change, CHANGE_RANGE).alias("price_change_24h"),
+        F.pmod(age, F.lit(MAX_AGE_MINUTES + 1)).cast("int").alias("minutes"),
+    )
+    rows = drawn.select(
+        F.col("coin")["a"].alias("crypto_id"),
+        F.col("coin")["b"].alias("symbol"),
+        F.col("coin")["c"].alias("name"),
+        "price_usd",
+        (F.col("price_usd") * F.col("supply")).alias("market_cap"),
+        (F.col("price_usd") * F.col("turnover")).alias("volume_24h"),
+        "price_change_24h",
+        F.timestamp_add("MINUTE", -F.col("minutes"), moment).alias("last_updated"),
+        moment.alias("ingestion_timestamp"),
+        F.lit(run_id).alias("pipeline_run_id"),
+    )
+    return fit_contract(rows, SYNTHETIC)
+
+
+def synthetic_market(
+    spark: SparkSession, rows: int, now: dt.datetime, run_id: str, seed: int = 42
+) -> DataFrame:
+    """``rows`` market rows numbered from zero."""
+    return synthetic_market_rows(spark.range(rows), "id", now, run_id, seed)
