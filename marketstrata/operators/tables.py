@@ -9,6 +9,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -224,7 +226,20 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: list[str], bal
     aligned = _aligned(df, table, merge_schema=True)
     if balance:
         aligned = aligned.hint("rebalance", *[F.col(c) for c in partition_by])
-    aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    with _dynamic_overwrite(spark):
+        aligned.write.mode("overwrite").insertInto(table)
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserts into catalog tables take this mode from the session only, not from the writer."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def cluster_rewrite(source: DataFrame, path: str, columns: list[str], partitions: int | None = None) -> DataFrame:
