@@ -11,6 +11,8 @@ import json
 import logging
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,39 +178,49 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def new_versions(
-    updates: DataFrame, target: DataFrame, keys: list[str], range_key: str | None = None
+    updates: DataFrame,
+    target: DataFrame,
+    keys: list[str],
+    range_key: str | None = None,
+    keep_null_keys: bool = True,
 ) -> DataFrame:
-    """Rows of ``updates`` whose key is not in ``target`` yet.
+    """Rows of ``updates`` whose key is not in ``target`` yet, one per key.
 
-    A NULL in a key never matches, so such rows are always new. ``range_key`` (by default the
-    last key) bounds the scan of the target: only values between the least and greatest of the
-    updates can match, which skips files and row groups of an ordered history.
+    A NULL in a key never matches, so such rows are always new; they bypass the join, where
+    they would all meet in one task. ``keep_null_keys=False`` leaves them out and saves a scan.
+    ``range_key`` (by default the last key) bounds the scan of the target: only values between
+    the least and greatest of the updates can match, which skips files and row groups of an
+    ordered history.
     """
     range_key = range_key or keys[-1]
-    complete = [F.col(key).isNotNull() for key in keys]
-    whole = complete[0]
-    for condition in complete[1:]:
-        whole = whole & condition
+    whole = reduce(and_, [F.col(key).isNotNull() for key in keys])
     keyed = updates.filter(whole)
     fresh = dedupe_snapshot(keyed, keys, newest=range_key)
-    low = keyed.agg(F.min(range_key)).scalar()
-    high = keyed.agg(F.max(range_key)).scalar()
+    bounds = keyed.agg(F.struct(F.min(range_key).alias("low"), F.max(range_key).alias("high"))).scalar()
+    near = target.filter(F.col(range_key).between(bounds.getField("low"), bounds.getField("high")))
     # Distinct on the map side: copies of one key in the target do not pile up in a task.
-    known = target.filter((F.col(range_key) >= low) & (F.col(range_key) <= high)).select(*keys).distinct()
-    return fresh.join(known, keys, "left_anti").select(*updates.columns).unionByName(updates.filter(~whole))
+    known = near.select(*keys).distinct()
+    new = fresh.join(known, keys, "left_anti").select(*updates.columns)
+    return new.unionByName(updates.filter(~whole)) if keep_null_keys else new
 
 
-def insert_only_merge(updates: DataFrame, table: str, keys: list[str], range_key: str | None = None) -> None:
+def insert_only_merge(
+    updates: DataFrame,
+    table: str,
+    keys: list[str],
+    range_key: str | None = None,
+    keep_null_keys: bool = True,
+) -> None:
     """Append the new versions among ``updates``; stored versions never change.
 
     Running it again with the same updates adds nothing (except rows with a NULL key; send
-    those to quarantine first).
+    those to quarantine first). ``updates`` is evaluated once for its bounds and once for its
+    rows, so store it first where it is costly to compute.
     """
     spark = updates.sparkSession
     if not table_exists(spark, table):
         create_typed_table(spark, table, updates.schema)
-    target = spark.read.table(table)
-    fresh = new_versions(updates, target, keys, range_key)
+    fresh = new_versions(updates, spark.read.table(table), keys, range_key, keep_null_keys)
     write_table(fresh, table, "append", merge_schema=True, stamp=False)
 
 

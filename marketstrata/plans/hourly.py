@@ -28,6 +28,7 @@ from marketstrata.operators.tables import (
     overwrite_partitions,
     write_table,
 )
+from marketstrata.session import stored
 
 log = logging.getLogger(__name__)
 
@@ -108,13 +109,15 @@ def refine_silver(spark: SparkSession, tables: LayerTables, now: dt.datetime, st
         require_valid(validation_summary(validation_report(run)))
     good, bad = split_rows(run)
     overwrite_partitions(bad, tables.quarantine, [RUN])
-    insert_only_merge(silver_transform(good, now), tables.silver, MERGE_KEYS)
+    # Error rules reject NULL merge keys, so none are left among the good rows.
+    insert_only_merge(silver_transform(good, now), tables.silver, MERGE_KEYS, keep_null_keys=False)
 
 
 def aggregate_gold(spark: SparkSession, tables: LayerTables) -> None:
     """Metrics of the newest batch, once per batch, and its leaders."""
     batch = latest_batch(spark.read.table(tables.silver))
-    insert_only_merge(gold_metrics(batch), tables.metrics, ["as_of_timestamp"])
+    metrics = stored(gold_metrics(batch), "metrics")
+    insert_only_merge(metrics, tables.metrics, ["as_of_timestamp"], keep_null_keys=False)
     write_table(gold_leaders(batch), tables.leaders, "overwrite", partition_by=["market_cap_rank"], stamp=False)
 
 
@@ -156,10 +159,10 @@ def hourly_run(
     result = RunResult(run_id)
     ensure_layers(spark, tables, location)
     try:
-        if payload.isEmpty():
+        ingest_bronze(payload, tables, result, now)
+        if result.saved == 0:
             result.status = "SKIPPED"
         else:
-            ingest_bronze(payload, tables, result, now)
             refine_silver(spark, tables, now, strict)
             aggregate_gold(spark, tables)
             result.status = "SUCCESS"

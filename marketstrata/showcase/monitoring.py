@@ -85,11 +85,11 @@ def layer_stats(spark, sf_dir):
 
 
 _FRESHNESS = f"""
-SELECT CASE WHEN at IS NULL THEN 'ERROR' ELSE 'WARNING' END AS level, 'freshness' AS "check", layer AS subject,
-  CAST(date_sub('second', at, {_AS_OF}) AS DOUBLE) AS observed, CAST(7200 AS DOUBLE) AS threshold
-FROM (SELECT 'bronze' AS layer, MAX(ingestion_timestamp) AS at FROM bronze
+SELECT CASE WHEN newest_at IS NULL THEN 'ERROR' ELSE 'WARNING' END AS level, 'freshness' AS "check", layer AS subject,
+  CAST(date_sub('second', newest_at, {_AS_OF}) AS DOUBLE) AS observed, CAST(7200 AS DOUBLE) AS threshold
+FROM (SELECT 'bronze' AS layer, MAX(ingestion_timestamp) AS newest_at FROM bronze
   UNION ALL SELECT 'silver', MAX(silver_ingestion_time) FROM silver) AS newest
-WHERE at IS NULL OR date_sub('second', at, {_AS_OF}) > 7200"""
+WHERE newest_at IS NULL OR date_sub('second', newest_at, {_AS_OF}) > 7200"""
 
 
 @query("freshness_check", _CTE + _FRESHNESS)

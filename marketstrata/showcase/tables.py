@@ -62,7 +62,6 @@ def insert_only_merge(spark, sf_dir):
     tables.create_from(rows.filter(F.col("ts") < moment("2024-01-16")), name)
     updates = rows.filter(F.col("ts") >= moment("2024-01-15")).withColumn("value", F.col("value") + 1000)
     tables.insert_only_merge(updates, name, ["event_id", "ts"])
-    tables.insert_only_merge(updates, name, ["event_id", "ts"])
     return tables.read_table(spark, name)
 
 
@@ -73,13 +72,12 @@ SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN value * 2 ELSE valu
   {_DAY} AS pipeline_run_id FROM events""",
 )
 def overwrite_run_partition(spark, sf_dir):
-    """All runs are written, then those from the 20th on are replaced, twice."""
+    """All runs are written, then those from the 20th on are replaced."""
     name = f"{scratch_schema(spark)}.runs"
     rows = _events(spark, sf_dir).select("event_id", "value", "pipeline_run_id")
     tables.overwrite_partitions(rows, name, ["pipeline_run_id"])
     again = rows.filter(F.col("pipeline_run_id") >= "2024-01-20").withColumn("value", F.col("value") * 2)
     tables.overwrite_partitions(again, name, ["pipeline_run_id"])
-    tables.overwrite_partitions(again, name, ["pipeline_run_id"])
     return tables.read_table(spark, name)
 
 

@@ -107,9 +107,13 @@ def project_narrow_snapshot(
 
 
 def decode_chart(df: DataFrame, text: str, coin: str = "coin_id") -> DataFrame:
-    """A column of market-chart JSON text as ``coin_id, prices, market_caps, total_volumes``."""
+    """A column of market-chart JSON text as ``coin_id, prices, market_caps, total_volumes``.
+
+    ``inline`` keeps the parsed text in one place; a plain projection would be merged into later
+    filters and parse it again for every series they look at.
+    """
     body = T.StructType([f for f in CHART.fields if f.name != "coin_id"])
-    return df.select(F.col(coin).alias("coin_id"), F.from_json(text, body).alias("c")).select("coin_id", "c.*")
+    return df.select(F.col(coin).alias("coin_id"), F.inline(F.array(F.from_json(text, body))))
 
 
 def same_grid() -> Column:

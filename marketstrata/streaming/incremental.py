@@ -64,7 +64,8 @@ def start_incremental_silver(
             good, bad = split_rows(rows)
             unique = dedupe_snapshot(good, [RUN, "id"])
             create_typed_table(spark, silver_table, SILVER)
-            insert_only_merge(silver_transform(unique, now, batch=RUN), silver_table, MERGE_KEYS)
+            versions = silver_transform(unique, now, batch=RUN)
+            insert_only_merge(versions, silver_table, MERGE_KEYS, keep_null_keys=False)
             numbered = bad.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             overwrite_partitions(numbered, quarantine_table, ["batch_id"])
         finally:
