@@ -11,6 +11,7 @@ from marketstrata.contracts import METRICS
 from marketstrata.functions import PERCENT, PRICE, exact_avg, exact_sum
 from marketstrata.functions.exact import MONEY
 from marketstrata.operators.conform import fit_contract
+from marketstrata.operators.quantiles import exact_quantiles
 
 # Coins whose dominance the market metrics report.
 ANCHORS = {"btc": "bitcoin", "eth": "ethereum"}
@@ -69,36 +70,39 @@ def _point(value: str, coin: str) -> Column:
     return F.max(F.when(F.col("coin_id") == coin, F.col(value)))
 
 
-def profile_columns(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
-    """One row per column: count, mean, stddev, min, quartiles, max.
+def profile_columns(
+    df: DataFrame, columns: Sequence[str], approximate: bool = False, accuracy: int = 10_000
+) -> DataFrame:
+    """One row per column: count, mean, stddev, min, quartiles, max; NaN counts as NULL.
 
-    Quartiles are elements of the data found by a mergeable sketch whose rank error is at most
-    ``1 / accuracy``, as in ``DataFrame.summary``; a column with fewer rows than ``accuracy``
-    gets exact ones.
+    Quartiles are elements of the data, exact by default. ``approximate`` takes them in the same
+    pass from a sketch with a rank error of at most ``1 / accuracy``, as ``DataFrame.summary``
+    does.
     """
+    exact = {} if approximate else exact_quantiles(df, columns, QUARTILES)
     figures = []
     for i, name in enumerate(columns):
         value = F.col(name).cast("double")
+        value = F.when(~F.isnan(value), value)
         figures += [
             F.count(value).alias(f"n{i}"),
             exact_avg(value, PRICE).alias(f"mean{i}"),
             F.stddev(value).alias(f"sd{i}"),
             F.min(value).alias(f"min{i}"),
-            F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"),
             F.max(value).alias(f"max{i}"),
         ]
-    lines = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.col(f"n{i}").alias("count"),
-            F.col(f"mean{i}").alias("mean"),
-            F.col(f"sd{i}").alias("stddev"),
-            F.col(f"min{i}").alias("min"),
-            F.col(f"q{i}")[0].alias("p25"),
-            F.col(f"q{i}")[1].alias("p50"),
-            F.col(f"q{i}")[2].alias("p75"),
-            F.col(f"max{i}").alias("max"),
-        )
-        for i, name in enumerate(columns)
-    ]
+        if approximate:
+            figures.append(F.percentile_approx(value, QUARTILES, accuracy).alias(f"q{i}"))
+    lines = []
+    for i, name in enumerate(columns):
+        if approximate:
+            quartiles = [F.col(f"q{i}")[k] for k in range(len(QUARTILES))]
+        else:
+            quartiles = [F.lit(value).cast("double") for value in exact[name]]
+        line = [F.lit(name), *[F.col(f"{part}{i}") for part in ("n", "mean", "sd", "min")], *quartiles, F.col(f"max{i}")]
+        lines.append(F.struct(*[c.alias(n) for c, n in zip(line, PROFILE, strict=True)]))
     return df.agg(*figures).select(F.inline(F.array(*lines)))
+
+
+QUARTILES = [0.25, 0.5, 0.75]
+PROFILE = ["column", "count", "mean", "stddev", "min", "p25", "p50", "p75", "max"]

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from marketstrata.contracts import ALERTS
 from marketstrata.functions import PRICE, exact_avg, exact_sum, percentage
 from marketstrata.operators.batches import recent_runs
-from marketstrata.operators.metrics import exact_avg as _avg
 
 
 @dataclass(frozen=True)
@@ -73,8 +72,8 @@ def gold_layer(rows: DataFrame) -> Layer:
     )
 
 
-def layer_figures(layer: Layer) -> DataFrame:
-    """One row of figures of a layer, in one pass over its table."""
+def layer_figures(layer: Layer, only: set[str] | None = None) -> DataFrame:
+    """One row of figures of a layer in one pass over its table, all or just those in ``only``."""
     null = F.lit(None)
     nulls = [
         F.struct(
@@ -83,40 +82,46 @@ def layer_figures(layer: Layer) -> DataFrame:
         )
         for name in layer.nulls
     ]
-    return layer.rows.agg(
-        F.lit(layer.name).alias("layer"),
-        F.count(F.lit(1)).alias("row_count"),
-        F.min(layer.time).alias("first_record"),
-        F.max(layer.time).alias("last_record"),
-        (F.countDistinct(layer.coin) if layer.coin else null.cast("bigint")).alias("unique_coins"),
-        (exact_avg(layer.price, PRICE) if layer.price else null.cast("double")).alias("avg_price"),
-        (exact_sum(layer.cap).cast("double") if layer.cap else null.cast("double")).alias("total_market_cap"),
-        (_avg(layer.average_cap, PRICE) if layer.average_cap else null.cast("double")).alias("avg_market_cap"),
-        (F.array(*nulls) if nulls else null.cast("array<struct<column:string,percent:double>>")).alias("nulls"),
-    )
+    figures = {
+        "row_count": F.count(F.lit(1)),
+        "first_record": F.min(layer.time),
+        "last_record": F.max(layer.time),
+        "unique_coins": F.countDistinct(layer.coin) if layer.coin else null.cast("bigint"),
+        "avg_price": exact_avg(layer.price, PRICE) if layer.price else null.cast("double"),
+        "total_market_cap": exact_sum(layer.cap).cast("double") if layer.cap else null.cast("double"),
+        "avg_market_cap": exact_avg(layer.average_cap, PRICE) if layer.average_cap else null.cast("double"),
+        "nulls": F.array(*nulls) if nulls else null.cast("array<struct<column:string,percent:double>>"),
+    }
+    wanted = [figure.alias(name) for name, figure in figures.items() if only is None or name in only]
+    return layer.rows.agg(F.lit(layer.name).alias("layer"), *wanted)
 
 
 def layer_stats(layers: Sequence[Layer]) -> DataFrame:
     """One row of statistics per layer."""
-    return _figures(layers).drop("nulls")
+    return _figures(layers, _STATISTICS)
 
 
 def null_percentage(layers: Sequence[Layer]) -> DataFrame:
     """``layer, column, percent`` of NULLs; an empty table gives NULL."""
-    return _figures(layers).select("layer", F.inline("nulls"))
+    return _figures(layers, {"nulls"}).select("layer", F.inline("nulls"))
+
+
+_STATISTICS = {
+    "row_count", "first_record", "last_record", "unique_coins", "avg_price", "total_market_cap", "avg_market_cap",
+}
 
 
-def _figures(layers: Sequence[Layer]) -> DataFrame:
-    frames = [layer_figures(layer) for layer in layers]
+def _figures(layers: Sequence[Layer], only: set[str]) -> DataFrame:
+    frames = [layer_figures(layer, only) for layer in layers]
     union = frames[0]
     for frame in frames[1:]:
         union = union.unionByName(frame)
     return union
 
 
-def _wide(layers: Sequence[Layer]) -> DataFrame:
-    """The figures of all layers in one row, one struct column per layer."""
-    figures = _figures(layers)
+def _wide(layers: Sequence[Layer], only: set[str]) -> DataFrame:
+    """Figures of all layers in one row, one struct column per layer."""
+    figures = _figures(layers, only)
     rest = F.struct(*[c for c in figures.columns if c != "layer"])
     return figures.agg(*[F.max_by(rest, F.when(F.col("layer") == la.name, 1)).alias(la.name) for la in layers])
 
@@ -181,21 +186,21 @@ def _retention(bronze: Layer, silver: Layer, limits: Thresholds) -> list[Column]
 def freshness_check(layers: Sequence[Layer], as_of, limits: Thresholds = DEFAULTS) -> DataFrame:
     """No rows is an ERROR, a newest row older than the limit a WARNING."""
     found = [c for layer in layers for c in _freshness(layer, _moment(as_of), limits)]
-    return _alerts(_wide(layers), found)
+    return _alerts(_wide(layers, {"last_record"}), found)
 
 
 def row_count_check(layers: Sequence[Layer], limits: Thresholds = DEFAULTS) -> DataFrame:
-    return _alerts(_wide(layers), [c for layer in layers for c in _row_count(layer, limits)])
+    return _alerts(_wide(layers, {"row_count"}), [c for layer in layers for c in _row_count(layer, limits)])
 
 
 def null_check(layers: Sequence[Layer], limits: Thresholds = DEFAULTS) -> DataFrame:
     """Key columns with too many NULLs; an empty table raises nothing here."""
-    return _alerts(_wide(layers), [c for layer in layers for c in _nulls(layer, limits)])
+    return _alerts(_wide(layers, {"nulls"}), [c for layer in layers for c in _nulls(layer, limits)])
 
 
 def layer_retention(bronze: Layer, silver: Layer, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Too few of the bronze coins in silver; an empty bronze raises nothing here."""
-    return _alerts(_wide([bronze, silver]), _retention(bronze, silver, limits))
+    return _alerts(_wide([bronze, silver], {"unique_coins"}), _retention(bronze, silver, limits))
 
 
 def cap_reconciliation(
@@ -262,7 +267,7 @@ def health_report(
     candidates += [c for layer in layers for c in _nulls(layer, limits)]
     candidates += _retention(layers[0], layers[1], limits)
     return (
-        _alerts(_wide(layers), candidates)
+        _alerts(_wide(layers, {"last_record", "row_count", "nulls", "unique_coins"}), candidates)
         .unionByName(cap_reconciliation(silver, gold, limits))
         .unionByName(run_duration_check(runs, as_of, name, limits))
     )

@@ -40,18 +40,19 @@ def attach_by_key(
     small: DataFrame,
     keys: list[str],
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join ``small`` (unique on ``keys``) to ``rows`` where one key may hold most rows.
 
-    ``small`` is written once and counted. Up to ``broadcast_rows`` it is broadcast and ``rows``
+    ``small`` is written once and counted. Up to ``BROADCAST_ROWS`` it is broadcast and ``rows``
     are not shuffled. Beyond that both sides are salted, so a hot key spreads over ``SALTS``
     tasks. The salt is the map partition, which a retried task reproduces. NULL keys match.
     """
     small = stored(small, "by-key").withColumnsRenamed({key: f"_key_{key}" for key in keys})
     extra = [f"_key_{key}" for key in keys]
     match = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_key_{key}")) for key in keys])
-    if small.count() <= broadcast_rows:
+    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    if small.count() <= limit:
         return rows.join(F.broadcast(small), match, how).drop(*extra)
     copies = small.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))

@@ -189,21 +189,31 @@ def new_versions(
     A NULL in a key never matches, so such rows are always new; they bypass the join, where
     they would all meet in one task. ``keep_null_keys=False`` leaves them out and saves a scan.
     ``range_key`` (by default the last key) bounds the scan of the target: only values between
-    the least and greatest of the updates can match, which skips files and row groups of an
-    ordered history.
+    the least and greatest of the updates can match. The two bounds are fetched first, so that
+    the filter is constant and skips partitions and row groups of an ordered history.
     """
     range_key = range_key or keys[-1]
     whole = reduce(and_, [F.col(key).isNotNull() for key in keys])
     keyed = updates.filter(whole)
     fresh = dedupe_snapshot(keyed, keys, newest=range_key)
-    bounds = keyed.agg(F.struct(F.min(range_key).alias("low"), F.max(range_key).alias("high"))).scalar()
-    near = target.filter(F.col(range_key).between(bounds.getField("low"), bounds.getField("high")))
+    near = target.filter(F.col(range_key).between(*_bounds(keyed, range_key)))
     # Distinct on the map side: copies of one key in the target do not pile up in a task.
     known = near.select(*keys).distinct()
     new = fresh.join(known, keys, "left_anti").select(*updates.columns)
     return new.unionByName(updates.filter(~whole)) if keep_null_keys else new
 
 
+def _bounds(df: DataFrame, column: str) -> tuple[Column, Column]:
+    """Least and greatest value as literals; instants travel as microseconds, free of time zones."""
+    kind = df.schema[column].dataType
+    value = F.col(column)
+    if isinstance(kind, T.TimestampType):
+        low, high = df.agg(F.unix_micros(F.min(value)), F.unix_micros(F.max(value))).first()
+        return F.timestamp_micros(F.lit(low).cast("bigint")), F.timestamp_micros(F.lit(high).cast("bigint"))
+    low, high = df.agg(F.min(value), F.max(value)).first()
+    return F.lit(low).cast(kind), F.lit(high).cast(kind)
+
+
 def insert_only_merge(
     updates: DataFrame,
     table: str,
@@ -220,6 +230,8 @@ def insert_only_merge(
     spark = updates.sparkSession
     if not table_exists(spark, table):
         create_typed_table(spark, table, updates.schema)
+    # Another session may have written since this one listed the files.
+    spark.catalog.refreshTable(table)
     fresh = new_versions(updates, spark.read.table(table), keys, range_key, keep_null_keys)
     write_table(fresh, table, "append", merge_schema=True, stamp=False)
 
@@ -276,9 +288,12 @@ def recluster_table(spark: SparkSession, table: str, columns: list[str], path: s
     spark.catalog.refreshTable(table)
 
 
-def collect_statistics(spark: SparkSession, table: str) -> None:
-    """Table and column statistics for the optimizer."""
-    spark.sql(f"ANALYZE TABLE {quoted(table)} COMPUTE STATISTICS FOR ALL COLUMNS")
+def collect_statistics(spark: SparkSession, table: str, columns: list[str] | None = None) -> None:
+    """Row count and size for the optimizer; also distinct counts and ranges of ``columns``."""
+    spark.sql(f"ANALYZE TABLE {quoted(table)} COMPUTE STATISTICS")
+    if columns:
+        named = ", ".join(quoted(c) for c in columns)
+        spark.sql(f"ANALYZE TABLE {quoted(table)} COMPUTE STATISTICS FOR COLUMNS {named}")
 
 
 def table_stats(spark: SparkSession, table: str, as_of: dt.datetime | Column | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from marketstrata.contracts import LEADERS, METRICS
 from marketstrata.operators import leaders, metrics
 from marketstrata.operators.conform import fit_contract
 from marketstrata.operators.shares import market_share
+from marketstrata.session import stored
 from marketstrata.showcase.standins import BRONZE_CTE, MARKET, SILVER_CTE, bronze, market, plain, query, silver
 
 STAND_IN_ANCHORS = {"btc": "c0", "eth": "c1"}
@@ -198,5 +199,7 @@ PROFILED = ["current_price_usd", "market_cap_usd", "total_volume_24h", "price_ch
     ),
 )
 def profile_columns(spark, sf_dir):
-    profile = metrics.profile_columns(market(spark, sf_dir), PROFILED)
+    # The market is costly to derive and the profile passes over its columns a few times.
+    rows = stored(market(spark, sf_dir).select(*PROFILED), "profiled")
+    profile = metrics.profile_columns(rows, PROFILED)
     return profile.withColumn("stddev", F.round("stddev", 3))

@@ -24,7 +24,7 @@ from marketstrata.showcase.standins import (
 )
 from marketstrata.sources import payloads
 from marketstrata.sources.synthetic import COINS, synthetic_market_rows
-from marketstrata.streaming.incremental import landed_snapshots, start_incremental_silver
+from marketstrata.streaming.incremental import landed_snapshots, run_incremental_silver
 
 _FIELDS = [
     "id", "symbol", "name", "current_price", "market_cap", "total_volume",
@@ -143,14 +143,13 @@ _SEED = 42
 
 
 def _draw(i: int) -> str:
-    mixed = f"(event_id % 2147483647 + {_SEED + 1 + i * 7919})"
-    for _ in range(3):
-        mixed = f"({mixed} * 48271 % 2147483647)"
-    return mixed
+    digest = f"md5(CAST(event_id AS VARCHAR) || ':{_SEED}:{i // 4}')"
+    return f"CAST('0x' || substr({digest}, {8 * (i % 4) + 1}, 8) AS BIGINT)"
 
 
 def _uniform(i: int, low: float, high: float) -> str:
-    return f"(CAST({low!r} AS DOUBLE) + CAST({_draw(i)} AS DOUBLE) / CAST(2147483647 AS DOUBLE) * CAST({high - low!r} AS DOUBLE))"
+    unit = f"CAST({_draw(i)} AS DOUBLE) / CAST(4294967296 AS DOUBLE)"
+    return f"(CAST({low!r} AS DOUBLE) + {unit} * CAST({high - low!r} AS DOUBLE))"
 
 
 def _pick(position: int) -> str:
@@ -201,8 +200,7 @@ def incremental_silver(spark, sf_dir):
     rows.write.partitionBy("pipeline_run_id").json(landing)
     now = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
     landed = landed_snapshots(spark, landing)
-    stream = start_incremental_silver(landed, f"{schema}.silver", f"{schema}.quarantine", progress, now)
-    stream.awaitTermination()
+    run_incremental_silver(landed, f"{schema}.silver", f"{schema}.quarantine", progress, now)
     return plain(
         spark.read.table(f"{schema}.silver").select(
             "coin_id", "last_updated", "current_price_usd", "market_cap_usd", "pipeline_run_id", "market_dominance"

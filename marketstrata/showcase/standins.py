@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketstrata.functions import exact_sum
+from marketstrata.functions import MONEY, exact_sum
 from marketstrata.operators.tables import ensure_schema
 from marketstrata.session import fresh_path
 
@@ -65,7 +65,7 @@ SPLIT = "1998-06-01"
 
 
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice")
+    price = F.col("l_extendedprice").cast(MONEY)
     shipped = F.col("l_shipdate")
     trade = (
         table(spark, sf_dir, "lineitem")

@@ -171,7 +171,7 @@ def table_stats(spark, sf_dir):
     name = f"{scratch_schema(spark)}.counted"
     rows = _events(spark, sf_dir).select("event_id", "value", "ts", "pipeline_run_id")
     tables.create_from(rows, name, ["pipeline_run_id"])
-    tables.collect_statistics(spark, name)
+    tables.collect_statistics(spark, name, ["event_id", "value"])
     stats = tables.table_stats(spark, name, moment("2024-02-01"))
     return stats.withColumn("value_type", F.col("columns")["value"]).drop("table_name", "columns")
 

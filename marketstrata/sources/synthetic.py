@@ -24,46 +24,52 @@ TURNOVER_RANGE = (1e4, 1e7)
 CHANGE_RANGE = (-0.1, 0.1)
 MAX_AGE_MINUTES = 60
 
-_MODULUS = 2_147_483_647
-_MULTIPLIER = 48_271
+_SPAN = 4_294_967_296.0
+_DRAWS_PER_DIGEST = 4
 
 
-def draws(row_id: str | Column, seed: int, count: int) -> list[Column]:
-    """``count`` integers in ``[0, 2^31 - 2]`` per row, a function of id and seed alone.
+def with_draws(ids: DataFrame, row_id: str, seed: int, names: list[str]) -> DataFrame:
+    """``ids`` as one column of 32-bit draws per name.
 
-    A multiplicative generator, so the values do not depend on partitioning or retries and can
-    be recomputed in any SQL engine.
+    Draws are slices of a digest of id and seed, so they do not depend on partitioning or
+    retries and can be recomputed in any SQL engine.
     """
-    key = F.col(row_id) if isinstance(row_id, str) else row_id
-    state = F.pmod(key.cast("bigint"), F.lit(_MODULUS))
-    found = []
-    for i in range(count):
-        mixed = state + F.lit(seed + 1 + i * 7_919).cast("bigint")
-        for _ in range(3):
-            mixed = F.pmod(mixed * F.lit(_MULTIPLIER), F.lit(_MODULUS))
-        found.append(mixed)
-    return found
+    digests = -(-len(names) // _DRAWS_PER_DIGEST)
+    hashed = ids.select(
+        *[
+            F.md5(F.concat_ws(":", F.col(row_id).cast("string"), F.lit(str(seed)), F.lit(str(k)))).alias(f"d{k}")
+            for k in range(digests)
+        ]
+    )
+    return hashed.select(
+        *[
+            F.conv(F.substring(f"d{i // _DRAWS_PER_DIGEST}", 8 * (i % _DRAWS_PER_DIGEST) + 1, 8), 16, 10)
+            .cast("bigint")
+            .alias(name)
+            for i, name in enumerate(names)
+        ]
+    )
 
 
-def _between(draw: Column, bounds: tuple[float, float]) -> Column:
+def _between(draw: str, bounds: tuple[float, float]) -> Column:
     low, high = bounds
-    return F.lit(low) + draw.cast("double") / F.lit(float(_MODULUS)) * F.lit(high - low)
+    return F.lit(low) + F.col(draw).cast("double") / F.lit(_SPAN) * F.lit(high - low)
 
 
 def synthetic_market_rows(
     ids: DataFrame, row_id: str, now: dt.datetime | Column, run_id: str, seed: int = 42
 ) -> DataFrame:
     """One market row per row of ``ids``."""
-    coin, price, supply, turnover, change, age = draws(row_id, seed, 6)
     moment = now if isinstance(now, Column) else F.lit(now)
     coins = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(c, "abc", strict=True)]) for c in COINS])
-    drawn = ids.select(
-        coins[F.pmod(coin, F.lit(len(COINS))).cast("int")].alias("coin"),
-        _between(price, PRICE_RANGE).alias("price_usd"),
-        _between(supply, SUPPLY_RANGE).alias("supply"),
-        _between(turnover, TURNOVER_RANGE).alias("turnover"),
-        _between(change, CHANGE_RANGE).alias("price_change_24h"),
-        F.pmod(age, F.lit(MAX_AGE_MINUTES + 1)).cast("int").alias("minutes"),
+    draws = with_draws(ids, row_id, seed, ["coin", "price", "supply", "turnover", "change", "age"])
+    drawn = draws.select(
+        coins[F.pmod("coin", F.lit(len(COINS))).cast("int")].alias("coin"),
+        _between("price", PRICE_RANGE).alias("price_usd"),
+        _between("supply", SUPPLY_RANGE).alias("supply"),
+        _between("turnover", TURNOVER_RANGE).alias("turnover"),
+        _between("change", CHANGE_RANGE).alias("price_change_24h"),
+        F.pmod("age", F.lit(MAX_AGE_MINUTES + 1)).cast("int").alias("minutes"),
     )
     rows = drawn.select(
         F.col("coin")["a"].alias("crypto_id"),

@@ -73,3 +73,21 @@ def start_incremental_silver(
 
     writer = landed.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
+
+
+def run_incremental_silver(
+    landed: DataFrame,
+    silver_table: str,
+    quarantine_table: str,
+    checkpoint: str,
+    now: dt.datetime | None = None,
+) -> None:
+    """Merge what has landed, wait, and let the calling session see the new files.
+
+    Micro-batches write in a session of their own, so the caller's list of files is stale.
+    """
+    start_incremental_silver(landed, silver_table, quarantine_table, checkpoint, now).awaitTermination()
+    catalog = landed.sparkSession.catalog
+    for table in (silver_table, quarantine_table):
+        if catalog.tableExists(table):
+            catalog.refreshTable(table)
