@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketstrata.contracts import METRICS
-from marketstrata.functions import PERCENT, PRICE, exact_avg, exact_sum
+from marketstrata.functions import PERCENT, PRICE, exact_avg, exact_sum, percent_of
 from marketstrata.functions.exact import MONEY
 from marketstrata.operators.conform import fit_contract
 from marketstrata.operators.quantiles import exact_quantiles
@@ -40,9 +40,11 @@ def market_metrics(
     """Market overview: one row for a single batch, one per value of ``batch`` otherwise.
 
     The weighted return is ``sum(cap * change) / sum(cap)``; coins without a change stay in the
-    denominator. A coin that is absent has NULL dominance.
+    denominator. A coin that is absent has NULL dominance. Dominance is read from
+    ``market_dominance`` where the data has it, else taken from the totals of the same pass.
     """
     anchors = anchors or ANCHORS
+    stored_share = "market_dominance" in silver.columns
     change = F.col("price_change_percentage_24h")
     cap = F.col("market_cap_usd")
     weighted = F.sum(cap.cast(MONEY) * change.cast(PERCENT)).cast("double")
@@ -54,7 +56,7 @@ def market_metrics(
         F.try_divide(weighted, exact_sum(cap).cast("double")).alias("market_cap_weighted_24h_return"),
         F.count_if(change > 0).alias("coins_positive_24h"),
         F.count_if(change < 0).alias("coins_negative_24h"),
-        *[_point("market_dominance", coin).alias(f"dominance_{tag}") for tag, coin in anchors.items()],
+        *[_dominance(coin, stored_share).alias(f"dominance_{tag}") for tag, coin in anchors.items()],
     ]
     if batch is None:
         return silver.agg(*figures, F.max(as_of).alias("as_of_timestamp"))
@@ -66,8 +68,11 @@ def gold_metrics(silver: DataFrame, batch: str | None = "silver_ingestion_time")
     return fit_contract(market_metrics(silver, batch), METRICS)
 
 
-def _point(value: str, coin: str) -> Column:
-    return F.max(F.when(F.col("coin_id") == coin, F.col(value)))
+def _dominance(coin: str, stored_share: bool) -> Column:
+    """Share of one coin; the greatest where a batch has several rows of it."""
+    value = "market_dominance" if stored_share else "market_cap_usd"
+    point = F.max(F.when(F.col("coin_id") == coin, F.col(value)))
+    return point if stored_share else percent_of(point, exact_sum(value))
 
 
 def profile_columns(

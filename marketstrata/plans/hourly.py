@@ -104,11 +104,13 @@ def ingest_bronze(payload: DataFrame, tables: LayerTables, result: RunResult, no
 
 def refine_silver(spark: SparkSession, tables: LayerTables, now: dt.datetime, strict: bool) -> None:
     """Validate the newest run, quarantine broken rows, merge the rest into the history."""
-    run = latest_run(spark.read.table(tables.bronze))
+    good = run = latest_run(spark.read.table(tables.bronze))
     if strict:
+        # Passing means that no row broke an error rule, so there is nothing to set aside.
         require_valid(validation_summary(validation_report(run)))
-    good, bad = split_rows(run)
-    overwrite_partitions(bad, tables.quarantine, [RUN])
+    else:
+        good, bad = split_rows(run)
+        overwrite_partitions(bad, tables.quarantine, [RUN])
     # Error rules reject NULL merge keys, so none are left among the good rows.
     insert_only_merge(silver_transform(good, now), tables.silver, MERGE_KEYS, keep_null_keys=False)
 

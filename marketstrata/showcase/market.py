@@ -8,8 +8,17 @@ from marketstrata.contracts import LEADERS, METRICS
 from marketstrata.operators import leaders, metrics
 from marketstrata.operators.conform import fit_contract
 from marketstrata.operators.shares import market_share
-from marketstrata.session import stored
-from marketstrata.showcase.standins import BRONZE_CTE, MARKET, SILVER_CTE, bronze, market, plain, query, silver
+from marketstrata.showcase.standins import (
+    BRONZE_CTE,
+    MARKET,
+    SILVER_CTE,
+    bronze,
+    market,
+    plain,
+    query,
+    silver,
+    stored_market,
+)
 
 STAND_IN_ANCHORS = {"btc": "c0", "eth": "c1"}
 
@@ -19,7 +28,7 @@ STAND_IN_ANCHORS = {"btc": "c0", "eth": "c1"}
     MARKET + "SELECT coin_id, market_cap_usd, market_dominance FROM shared",
 )
 def market_dominance(spark, sf_dir):
-    return market_share(market(spark, sf_dir)).select("coin_id", "market_cap_usd", "market_dominance")
+    return market_share(stored_market(spark, sf_dir)).select("coin_id", "market_cap_usd", "market_dominance")
 
 
 @query(
@@ -60,7 +69,7 @@ FROM {source} {group}"""
 
 @query("market_metrics", MARKET + _metrics_sql("shared", "MAX(last_updated)", "c0", "c1"))
 def market_metrics(spark, sf_dir):
-    rows = market_share(market(spark, sf_dir))
+    rows = market(spark, sf_dir)
     found = metrics.market_metrics(rows, as_of="last_updated", anchors=STAND_IN_ANCHORS)
     return plain(fit_contract(found, METRICS))
 
@@ -81,7 +90,7 @@ shared AS (
     + _metrics_sql("shared", "silver_ingestion_time", "u8", "u46", "GROUP BY silver_ingestion_time"),
 )
 def market_metrics_by_batch(spark, sf_dir):
-    rows = market_share(silver(spark, sf_dir), batch="silver_ingestion_time")
+    rows = silver(spark, sf_dir)
     found = metrics.market_metrics(rows, "silver_ingestion_time", anchors={"btc": "u8", "eth": "u46"})
     return plain(fit_contract(found, METRICS))
 
@@ -102,7 +111,7 @@ SELECT * FROM ranked WHERE rank <= 10""",
 def top_by_market_cap(spark, sf_dir):
     """Caps in buckets, so that coins tie."""
     cap = F.floor(F.col("market_cap_usd") / F.lit(100000.0)).cast("double")
-    rows = market_share(market(spark, sf_dir).withColumn("market_cap_usd", cap))
+    rows = market_share(stored_market(spark, sf_dir).withColumn("market_cap_usd", cap))
     return leaders.top_by_market_cap(rows).select(F.col("rank").cast("bigint").alias("rank"), *leaders.LEADER_COLUMNS)
 
 
@@ -165,7 +174,7 @@ FROM cap LEFT JOIN gain ON cap.coin_id = gain.coin_id LEFT JOIN volume ON cap.co
 WHERE rank <= 10""",
 )
 def top_performers(spark, sf_dir):
-    rows = market_share(market(spark, sf_dir))
+    rows = market_share(stored_market(spark, sf_dir))
     return plain(fit_contract(leaders.top_performers(rows, as_of="last_updated"), LEADERS))
 
 
@@ -199,7 +208,5 @@ PROFILED = ["current_price_usd", "market_cap_usd", "total_volume_24h", "price_ch
     ),
 )
 def profile_columns(spark, sf_dir):
-    # The market is costly to derive and the profile passes over its columns a few times.
-    rows = stored(market(spark, sf_dir).select(*PROFILED), "profiled")
-    profile = metrics.profile_columns(rows, PROFILED)
+    profile = metrics.profile_columns(stored_market(spark, sf_dir), PROFILED)
     return profile.withColumn("stddev", F.round("stddev", 3))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from marketstrata.functions import MONEY, exact_sum
 from marketstrata.operators.tables import ensure_schema
-from marketstrata.session import fresh_path
+from marketstrata.session import fresh_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,6 +92,11 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The market as a written table, for operators that pass over it more than once."""
+    return stored(market(spark, sf_dir), "market")
+
+
 MARKET = f"""
 WITH trade AS (
   SELECT l_partkey,

@@ -26,6 +26,14 @@ def test_metrics_of_a_batch(silver_rows):
     assert row["dominance_btc"] is None
 
 
+def test_dominance_from_totals_equals_stored_share(silver_rows):
+    anchors = {"btc": "k00", "eth": "k12"}
+    stored = metrics.market_metrics(market_share(silver_rows), anchors=anchors).first()
+    derived = metrics.market_metrics(silver_rows, anchors=anchors).first()
+    assert stored == derived
+    assert stored["dominance_btc"] == 900.0 / 5450.0 * 100
+
+
 def test_empty_batch_gives_nulls(silver_rows):
     row = metrics.market_metrics(market_share(silver_rows.filter("false"))).first()
     assert (row["total_coins"], row["total_market_cap_usd"], row["market_cap_weighted_24h_return"]) == (0, None, None)
