@@ -20,6 +20,8 @@ def local_session(cores: str = "*", app: str = "marketstrata") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Recording a call site for every column expression costs more than small queries do.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
