@@ -1,42 +1,33 @@
-"""Order-independent arithmetic.
+"""Order-independent arithmetic, as SQL text.
 
 Sums of doubles depend on the order in which partitions are merged, so a retried or
 re-partitioned job could report another total. Amounts are summed as decimals instead and
-turned into doubles once at the end.
+turned into doubles once at the end. Values may be any SQL expression.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 # Sums add ten digits of precision: MONEY sums are DECIMAL(34,2), PRICE sums DECIMAL(38,10).
-MONEY = T.DecimalType(24, 2)
-PRICE = T.DecimalType(28, 10)
-PERCENT = T.DecimalType(16, 8)
+MONEY = "decimal(24,2)"
+PRICE = "decimal(28,10)"
+PERCENT = "decimal(16,8)"
 
 
-def exact_sum(column: str | Column, kind: T.DecimalType = MONEY) -> Column:
-    """Decimal sum of a double column; NULLs are skipped, all-NULL gives NULL."""
-    return F.sum(_column(column).cast(kind))
+def exact_sum(value: str, kind: str = MONEY) -> str:
+    """Decimal sum of a double; NULLs are skipped, all-NULL gives NULL."""
+    return f"sum(cast({value} as {kind}))"
 
 
-def exact_avg(column: str | Column, kind: T.DecimalType = PERCENT) -> Column:
+def exact_avg(value: str, kind: str = PERCENT) -> str:
     """Average as decimal sum over count of non-NULLs; no rows gives NULL."""
-    value = _column(column)
-    return F.try_divide(F.sum(value.cast(kind)).cast("double"), F.count(value))
+    return f"try_divide(cast({exact_sum(value, kind)} as double), count({value}))"
 
 
-def percent_of(part: Column, whole: Column) -> Column:
+def percent_of(part: str, whole: str) -> str:
     """``part / whole * 100``; NULL where the whole is NULL or zero."""
-    return F.try_divide(part.cast("double"), whole.cast("double")) * F.lit(100.0)
+    return f"try_divide(cast({part} as double), cast({whole} as double)) * 100d"
 
 
-def percentage(part: Column, whole: Column) -> Column:
+def percentage(part: str, whole: str) -> str:
     """``part * 100 / whole`` for counts; NULL where the whole is zero."""
-    return F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double"))
-
-
-def _column(column: str | Column) -> Column:
-    return F.col(column) if isinstance(column, str) else column
+    return f"try_divide(cast({part} as double) * 100d, cast({whole} as double))"

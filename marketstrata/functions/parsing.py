@@ -1,16 +1,13 @@
-"""Casts that turn dirty input into NULL instead of failing the job (ANSI mode is on)."""
+"""Casts that turn dirty input into NULL instead of failing the job (ANSI mode is on), as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def iso_instant(column: str | Column) -> Column:
+def iso_instant(value: str) -> str:
     """ISO-8601 text to ``TIMESTAMP``; unparsable gives NULL."""
-    return F.try_to_timestamp(F.col(column) if isinstance(column, str) else column)
+    return f"try_to_timestamp({value})"
 
 
-def number(column: str | Column) -> Column:
+def number(value: str) -> str:
     """Text or number to ``DOUBLE``; non-numeric gives NULL."""
-    return (F.col(column) if isinstance(column, str) else column).try_cast("double")
+    return f"try_cast({value} as double)"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketstrata.contracts import BRONZE, REQUIRED_COLUMNS, SILVER, SILVER_NAMES
-from marketstrata.functions import iso_instant, number
+from marketstrata.functions import iso_instant, number, quoted
 from marketstrata.operators.shares import market_share
 
 
@@ -33,15 +33,16 @@ def fit_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
     where that must be noticed.
     """
     kinds = {field.name: field.dataType for field in df.schema.fields}
-    return df.select(*[_fitted(field, kinds.get(field.name)).alias(field.name) for field in contract.fields])
+    return df.selectExpr(*[_fitted(field, kinds.get(field.name)) for field in contract.fields])
 
 
-def _fitted(field: T.StructField, kind: T.DataType | None) -> Column:
+def _fitted(field: T.StructField, kind: T.DataType | None) -> str:
+    name, wanted = quoted(field.name), field.dataType.simpleString()
     if kind is None:
-        return F.lit(None).cast(field.dataType)
+        return f"cast(null as {wanted}) as {name}"
     if kind == field.dataType:
-        return F.col(field.name)
-    return F.col(field.name).try_cast(field.dataType)
+        return name
+    return f"try_cast({name} as {wanted}) as {name}"
 
 
 def stamp_batch(df: DataFrame, now: dt.datetime | Column | None = None, run_id: str | Column | None = None) -> DataFrame:
@@ -74,11 +75,10 @@ def silver_transform(
     ``batch`` names the run column when ``bronze`` holds several runs; market share is then
     taken per run. Without it all rows are one batch.
     """
-    instants = {c: iso_instant(c) for c in ("ath_date", "atl_date", "last_updated") if c in bronze.columns}
-    numbers = {
-        c: number(c) for c in ("price_change_24h", "price_change_percentage_24h") if c in bronze.columns
-    }
-    renamed = bronze.withColumns({**instants, **numbers}).withColumnsRenamed(SILVER_NAMES)
+    parsed = {c: iso_instant(c) for c in ("ath_date", "atl_date", "last_updated")}
+    parsed |= {c: number(c) for c in ("price_change_24h", "price_change_percentage_24h")}
+    present = {c: F.expr(text) for c, text in parsed.items() if c in bronze.columns}
+    renamed = bronze.withColumns(present).withColumnsRenamed(SILVER_NAMES)
     shared = market_share(renamed, batch=batch)
     stamped = shared.withColumn(
         "silver_ingestion_time", F.current_timestamp() if now is None else _literal(now)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketstrata.functions import quoted
+
 
 def dedupe_snapshot(
     df: DataFrame,
@@ -19,8 +21,10 @@ def dedupe_snapshot(
     """
     rest = [c for c in df.columns if c not in keys]
     ranked = ([newest] if newest in rest else []) + [c for c in rest if c != newest]
-    best = F.max(F.struct(*ranked)).alias("_best")
-    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
-    grouped = df.groupBy(*keys).agg(best, *counted)
-    picked = [F.col(c) if c in keys else F.col("_best").getField(c).alias(c) for c in df.columns]
-    return grouped.select(*picked, *([F.col(copies)] if copies else []))
+    if not ranked and not copies:
+        return df.distinct()
+    best = [F.expr(f"max(struct({', '.join(quoted(c) for c in ranked)})) as _best")] if ranked else []
+    counted = [F.expr(f"count(1) as {quoted(copies)}")] if copies else []
+    grouped = df.groupBy(*keys).agg(*best, *counted)
+    picked = [quoted(c) if c in keys else f"_best.{quoted(c)} as {quoted(c)}" for c in df.columns]
+    return grouped.selectExpr(*picked, *([quoted(copies)] if copies else []))

@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketstrata.contracts import METRICS
-from marketstrata.functions import PERCENT, PRICE, exact_avg, exact_sum, percent_of
-from marketstrata.functions.exact import MONEY
+from marketstrata.functions import (
+    MONEY,
+    PERCENT,
+    PRICE,
+    exact_avg,
+    exact_sum,
+    percent_of,
+    quoted,
+    text_literal,
+)
 from marketstrata.operators.conform import fit_contract
 from marketstrata.operators.quantiles import exact_quantiles
 
@@ -19,15 +27,15 @@ ANCHORS = {"btc": "bitcoin", "eth": "ethereum"}
 
 def price_stats(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Row count, distinct coins and price/cap range of a bronze table, in one aggregate."""
-    distinct = F.approx_count_distinct("id") if approximate else F.countDistinct("id")
+    distinct = "approx_count_distinct(id)" if approximate else "count(distinct id)"
     return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        distinct.alias("unique_coins"),
-        F.min("current_price").alias("min_price"),
-        F.max("current_price").alias("max_price"),
-        exact_avg("current_price", PRICE).alias("avg_price"),
-        F.min("market_cap").alias("min_market_cap"),
-        F.max("market_cap").alias("max_market_cap"),
+        F.expr("count(1) as total_records"),
+        F.expr(f"{distinct} as unique_coins"),
+        F.expr("min(current_price) as min_price"),
+        F.expr("max(current_price) as max_price"),
+        F.expr(f"{exact_avg('current_price', PRICE)} as avg_price"),
+        F.expr("min(market_cap) as min_market_cap"),
+        F.expr("max(market_cap) as max_market_cap"),
     )
 
 
@@ -45,19 +53,19 @@ def market_metrics(
     """
     anchors = anchors or ANCHORS
     stored_share = "market_dominance" in silver.columns
-    change = F.col("price_change_percentage_24h")
-    cap = F.col("market_cap_usd")
-    weighted = F.sum(cap.cast(MONEY) * change.cast(PERCENT)).cast("double")
-    figures = [
-        F.count("coin_id").alias("total_coins"),
-        exact_sum(cap).alias("total_market_cap_usd"),
-        exact_sum("total_volume_24h").alias("total_volume_24h_usd"),
-        exact_avg(change).alias("avg_price_change_24h"),
-        F.try_divide(weighted, exact_sum(cap).cast("double")).alias("market_cap_weighted_24h_return"),
-        F.count_if(change > 0).alias("coins_positive_24h"),
-        F.count_if(change < 0).alias("coins_negative_24h"),
-        *[_dominance(coin, stored_share).alias(f"dominance_{tag}") for tag, coin in anchors.items()],
-    ]
+    change, cap = "price_change_percentage_24h", "market_cap_usd"
+    weighted = f"cast(sum(cast({cap} as {MONEY}) * cast({change} as {PERCENT})) as double)"
+    figures = {
+        "total_coins": "count(coin_id)",
+        "total_market_cap_usd": exact_sum(cap),
+        "total_volume_24h_usd": exact_sum("total_volume_24h"),
+        "avg_price_change_24h": exact_avg(change),
+        "market_cap_weighted_24h_return": f"try_divide({weighted}, cast({exact_sum(cap)} as double))",
+        "coins_positive_24h": f"count_if({change} > 0)",
+        "coins_negative_24h": f"count_if({change} < 0)",
+        **{f"dominance_{tag}": _dominance(coin, stored_share) for tag, coin in anchors.items()},
+    }
+    figures = [F.expr(text).alias(name) for name, text in figures.items()]
     if batch is None:
         return silver.agg(*figures, F.max(as_of).alias("as_of_timestamp"))
     return silver.groupBy(F.col(batch).alias("as_of_timestamp")).agg(*figures)
@@ -68,10 +76,10 @@ def gold_metrics(silver: DataFrame, batch: str | None = "silver_ingestion_time")
     return fit_contract(market_metrics(silver, batch), METRICS)
 
 
-def _dominance(coin: str, stored_share: bool) -> Column:
+def _dominance(coin: str, stored_share: bool) -> str:
     """Share of one coin; the greatest where a batch has several rows of it."""
     value = "market_dominance" if stored_share else "market_cap_usd"
-    point = F.max(F.when(F.col("coin_id") == coin, F.col(value)))
+    point = f"max(case when coin_id = {text_literal(coin)} then {value} end)"
     return point if stored_share else percent_of(point, exact_sum(value))
 
 
@@ -85,28 +93,26 @@ def profile_columns(
     does.
     """
     exact = {} if approximate else exact_quantiles(df, columns, QUARTILES)
-    figures = []
+    figures, lines = [], []
     for i, name in enumerate(columns):
-        value = F.col(name).cast("double")
-        value = F.when(~F.isnan(value), value)
-        figures += [
-            F.count(value).alias(f"n{i}"),
-            exact_avg(value, PRICE).alias(f"mean{i}"),
-            F.stddev(value).alias(f"sd{i}"),
-            F.min(value).alias(f"min{i}"),
-            F.max(value).alias(f"max{i}"),
-        ]
+        value = f"nanvl(cast({quoted(name)} as double), cast(null as double))"
+        texts = {
+            "n": f"count({value})",
+            "mean": exact_avg(value, PRICE),
+            "sd": f"stddev({value})",
+            "min": f"min({value})",
+            "max": f"max({value})",
+        }
         if approximate:
-            figures.append(F.percentile_approx(value, QUARTILES, accuracy).alias(f"q{i}"))
-    lines = []
-    for i, name in enumerate(columns):
-        if approximate:
-            quartiles = [F.col(f"q{i}")[k] for k in range(len(QUARTILES))]
+            wanted = ", ".join(f"{p}d" for p in QUARTILES)
+            texts["q"] = f"percentile_approx({value}, array({wanted}), {int(accuracy)})"
+            quartiles = [f"q{i}[{k}]" for k in range(len(QUARTILES))]
         else:
-            quartiles = [F.lit(value).cast("double") for value in exact[name]]
-        line = [F.lit(name), *[F.col(f"{part}{i}") for part in ("n", "mean", "sd", "min")], *quartiles, F.col(f"max{i}")]
-        lines.append(F.struct(*[c.alias(n) for c, n in zip(line, PROFILE, strict=True)]))
-    return df.agg(*figures).select(F.inline(F.array(*lines)))
+            quartiles = [f"cast({'null' if q is None else repr(q) + 'd'} as double)" for q in exact[name]]
+        figures += [F.expr(f"{text} as {part}{i}") for part, text in texts.items()]
+        line = [text_literal(name), f"n{i}", f"mean{i}", f"sd{i}", f"min{i}", *quartiles, f"max{i}"]
+        lines.append("named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(PROFILE, line, strict=True)) + ")")
+    return df.agg(*figures).selectExpr(f"inline(array({', '.join(lines)}))")
 
 
 QUARTILES = [0.25, 0.5, 0.75]

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketstrata.contracts import ALERTS
-from marketstrata.functions import PRICE, exact_avg, exact_sum, percentage
+from marketstrata.functions import PRICE, exact_avg, exact_sum, percentage, quoted, text_literal
 from marketstrata.operators.batches import recent_runs
 
 
@@ -72,28 +72,28 @@ def gold_layer(rows: DataFrame) -> Layer:
     )
 
 
+_NULL_FIGURES = "array<struct<column:string,percent:double>>"
+
+
 def layer_figures(layer: Layer, only: set[str] | None = None) -> DataFrame:
     """One row of figures of a layer in one pass over its table, all or just those in ``only``."""
-    null = F.lit(None)
-    nulls = [
-        F.struct(
-            F.lit(name).alias("column"),
-            percentage(F.count_if(F.col(name).isNull()), F.count(F.lit(1))).alias("percent"),
-        )
+    nulls = ", ".join(
+        f"named_struct('column', {text_literal(name)}, "
+        f"'percent', {percentage(f'count_if({quoted(name)} is null)', 'count(1)')})"
         for name in layer.nulls
-    ]
+    )
     figures = {
-        "row_count": F.count(F.lit(1)),
-        "first_record": F.min(layer.time),
-        "last_record": F.max(layer.time),
-        "unique_coins": F.countDistinct(layer.coin) if layer.coin else null.cast("bigint"),
-        "avg_price": exact_avg(layer.price, PRICE) if layer.price else null.cast("double"),
-        "total_market_cap": exact_sum(layer.cap).cast("double") if layer.cap else null.cast("double"),
-        "avg_market_cap": exact_avg(layer.average_cap, PRICE) if layer.average_cap else null.cast("double"),
-        "nulls": F.array(*nulls) if nulls else null.cast("array<struct<column:string,percent:double>>"),
+        "row_count": "count(1)",
+        "first_record": f"min({layer.time})",
+        "last_record": f"max({layer.time})",
+        "unique_coins": f"count(distinct {layer.coin})" if layer.coin else "cast(null as bigint)",
+        "avg_price": exact_avg(layer.price, PRICE) if layer.price else "cast(null as double)",
+        "total_market_cap": f"cast({exact_sum(layer.cap)} as double)" if layer.cap else "cast(null as double)",
+        "avg_market_cap": exact_avg(layer.average_cap, PRICE) if layer.average_cap else "cast(null as double)",
+        "nulls": f"array({nulls})" if nulls else f"cast(null as {_NULL_FIGURES})",
     }
-    wanted = [figure.alias(name) for name, figure in figures.items() if only is None or name in only]
-    return layer.rows.agg(F.lit(layer.name).alias("layer"), *wanted)
+    wanted = [F.expr(f"{text} as {name}") for name, text in figures.items() if only is None or name in only]
+    return layer.rows.agg(F.expr(f"{text_literal(layer.name)} as layer"), *wanted)
 
 
 def layer_stats(layers: Sequence[Layer]) -> DataFrame:
@@ -122,18 +122,24 @@ def _figures(layers: Sequence[Layer], only: set[str]) -> DataFrame:
 def _wide(layers: Sequence[Layer], only: set[str]) -> DataFrame:
     """Figures of all layers in one row, one struct column per layer."""
     figures = _figures(layers, only)
-    rest = F.struct(*[c for c in figures.columns if c != "layer"])
-    return figures.agg(*[F.max_by(rest, F.when(F.col("layer") == la.name, 1)).alias(la.name) for la in layers])
+    rest = ", ".join(c for c in figures.columns if c != "layer")
+    picked = [
+        F.expr(f"max_by(struct({rest}), case when layer = {text_literal(la.name)} then 1 end) as {quoted(la.name)}")
+        for la in layers
+    ]
+    return figures.agg(*picked)
 
 
-def _alert(level, check, subject, observed, threshold, message) -> Column:
-    values = [level, check, subject, observed, threshold, message]
-    columns = [v if isinstance(v, Column) else F.lit(v) for v in values]
-    return F.struct(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, ALERTS.fields, strict=True)])
+def _alert(level: str, check: str, subject: str, observed: str, threshold: str, message: str) -> str:
+    """One possible alert as a SQL struct; a NULL level means that all is well."""
+    values = [level, text_literal(check), subject, observed, threshold, message]
+    pairs = zip(values, ALERTS.fields, strict=True)
+    fields = ", ".join(f"'{f.name}', cast({v} as {f.dataType.simpleString()})" for v, f in pairs)
+    return f"named_struct({fields})"
 
 
-def _alerts(source: DataFrame, candidates: Sequence[Column]) -> DataFrame:
-    return source.select(F.inline(F.array(*candidates))).filter(F.col("level").isNotNull())
+def _alerts(source: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    return source.selectExpr(f"inline(array({', '.join(candidates)}))").filter("level is not null")
 
 
 def _moment(as_of: dt.datetime | Column) -> Column:
@@ -143,41 +149,44 @@ def _moment(as_of: dt.datetime | Column) -> Column:
 # --- candidates: one struct per possible alert, with a NULL level where all is well -----------
 
 
-def _freshness(layer: Layer, as_of: Column, limits: Thresholds) -> list[Column]:
-    last = F.col(layer.name)["last_record"]
-    age = F.timestamp_diff("SECOND", last, as_of)
-    level = F.when(last.isNull(), "ERROR").when(age > limits.max_age_hours * 3600, "WARNING")
-    text = F.when(last.isNull(), F.concat(F.lit("no data found in "), F.lit(layer.name))).otherwise(
-        F.concat(F.lit(f"{layer.name} data is "), age.cast("string"), F.lit(" seconds old"))
+def _freshness(layer: Layer, limits: Thresholds) -> list[str]:
+    """Needs the column ``as_of``."""
+    last = f"{quoted(layer.name)}.last_record"
+    age = f"timestampdiff(second, {last}, as_of)"
+    limit = f"{limits.max_age_hours * 3600!r}d"
+    level = f"case when {last} is null then 'ERROR' when {age} > {limit} then 'WARNING' end"
+    text = (
+        f"case when {last} is null then 'no data found in {layer.name}' "
+        f"else concat('{layer.name} data is ', {age}, ' seconds old') end"
     )
-    return [_alert(level, "freshness", layer.name, age, limits.max_age_hours * 3600, text)]
+    return [_alert(level, "freshness", text_literal(layer.name), age, limit, text)]
 
 
-def _row_count(layer: Layer, limits: Thresholds) -> list[Column]:
-    floor = limits.min_rows.get(layer.name, 1)
-    rows = F.col(layer.name)["row_count"]
-    text = F.concat(F.lit(f"low row count in {layer.name}: "), rows.cast("string"))
-    return [_alert(F.when(rows < floor, "WARNING"), "row_count", layer.name, rows, floor, text)]
+def _row_count(layer: Layer, limits: Thresholds) -> list[str]:
+    floor = str(limits.min_rows.get(layer.name, 1))
+    rows = f"{quoted(layer.name)}.row_count"
+    level = f"case when {rows} < {floor} then 'WARNING' end"
+    text = f"concat('low row count in {layer.name}: ', {rows})"
+    return [_alert(level, "row_count", text_literal(layer.name), rows, floor, text)]
 
 
-def _nulls(layer: Layer, limits: Thresholds) -> list[Column]:
-    found = []
+def _nulls(layer: Layer, limits: Thresholds) -> list[str]:
+    limit, found = f"{limits.max_null_percent!r}d", []
     for i, name in enumerate(layer.nulls):
-        percent = F.col(layer.name)["nulls"][i]["percent"]
-        text = F.format_string(f"high NULL percentage in {layer.name}.{name}: %.2f%%", percent)
-        level = F.when(percent > limits.max_null_percent, "WARNING")
-        found.append(_alert(level, "nulls", f"{layer.name}.{name}", percent, limits.max_null_percent, text))
+        subject = f"{layer.name}.{name}"
+        percent = f"{quoted(layer.name)}.nulls[{i}].percent"
+        level = f"case when {percent} > {limit} then 'WARNING' end"
+        text = f"format_string('high NULL percentage in {subject}: %.2f%%', {percent})"
+        found.append(_alert(level, "nulls", text_literal(subject), percent, limit, text))
     return found
 
 
-def _retention(bronze: Layer, silver: Layer, limits: Thresholds) -> list[Column]:
-    before, after = F.col(bronze.name)["unique_coins"], F.col(silver.name)["unique_coins"]
-    ratio = F.try_divide(after.cast("double"), before.cast("double"))
-    text = F.concat(
-        F.lit("coins lost between bronze and silver: "), after.cast("string"), F.lit("/"), before.cast("string")
-    )
-    level = F.when(ratio < limits.min_retention, "WARNING")
-    return [_alert(level, "retention", "silver/bronze", ratio, limits.min_retention, text)]
+def _retention(bronze: Layer, silver: Layer, limits: Thresholds) -> list[str]:
+    before, after = (f"{quoted(layer.name)}.unique_coins" for layer in (bronze, silver))
+    ratio, limit = f"try_divide(cast({after} as double), cast({before} as double))", f"{limits.min_retention!r}d"
+    level = f"case when {ratio} < {limit} then 'WARNING' end"
+    text = f"concat('coins lost between bronze and silver: ', {after}, '/', {before})"
+    return [_alert(level, "retention", "'silver/bronze'", ratio, limit, text)]
 
 
 # --- checks -----------------------------------------------------------------------------------
@@ -185,8 +194,8 @@ def _retention(bronze: Layer, silver: Layer, limits: Thresholds) -> list[Column]
 
 def freshness_check(layers: Sequence[Layer], as_of, limits: Thresholds = DEFAULTS) -> DataFrame:
     """No rows is an ERROR, a newest row older than the limit a WARNING."""
-    found = [c for layer in layers for c in _freshness(layer, _moment(as_of), limits)]
-    return _alerts(_wide(layers, {"last_record"}), found)
+    found = [c for layer in layers for c in _freshness(layer, limits)]
+    return _alerts(_wide(layers, {"last_record"}).withColumn("as_of", _moment(as_of)), found)
 
 
 def row_count_check(layers: Sequence[Layer], limits: Thresholds = DEFAULTS) -> DataFrame:
@@ -216,14 +225,14 @@ def cap_reconciliation(
         F.max_by(F.col("total_market_cap_usd").cast("double"), F.col(as_of)).alias("reported")
     ).scalar()
     batch = silver.filter(F.col(time) == newest)
-    sums = batch.agg(exact_sum("market_cap_usd").cast("double").alias("actual"))
-    difference = F.abs(F.try_divide(F.col("actual") - F.col("reported"), F.col("actual")) * 100)
-    text = F.format_string("market cap differs between silver and gold by %.2f%%", difference)
-    level = F.when(difference > limits.max_cap_difference_percent, "WARNING")
-    candidate = _alert(
-        level, "cap_reconciliation", "gold/silver", difference, limits.max_cap_difference_percent, text
+    sums = batch.agg(F.expr(f"cast({exact_sum('market_cap_usd')} as double) as actual"))
+    limit = f"{limits.max_cap_difference_percent!r}d"
+    level = f"case when difference > {limit} then 'WARNING' end"
+    text = "format_string('market cap differs between silver and gold by %.2f%%', difference)"
+    compared = sums.withColumn("reported", reported).selectExpr(
+        "abs(try_divide(actual - reported, actual) * 100d) as difference"
     )
-    return _alerts(sums.withColumn("reported", reported), [candidate])
+    return _alerts(compared, [_alert(level, "cap_reconciliation", "'gold/silver'", "difference", limit, text)])
 
 
 def run_duration_check(
@@ -233,21 +242,20 @@ def run_duration_check(
 
     Looks at runs started in the look-back range; the average includes the last run.
     """
-    seconds = F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))
-    taken = recent_runs(runs, as_of, limits.look_back_days, name).withColumn("_seconds", seconds)
+    seconds = F.expr("timestampdiff(second, start_time, end_time) as _seconds")
+    taken = recent_runs(runs, as_of, limits.look_back_days, name).select("start_time", "run_id", "end_time", seconds)
     figures = taken.agg(
-        exact_avg("_seconds").alias("average"),
-        F.max(F.struct("start_time", "run_id", "end_time", "_seconds")).alias("last"),
+        F.expr(f"{exact_avg('_seconds')} as average"),
+        F.expr("max(struct(start_time, run_id, end_time, _seconds)) as last"),
     )
-    last = F.col("last")
-    ceiling = F.col("average") * limits.max_duration_ratio
-    unfinished = last.isNotNull() & last["end_time"].isNull()
-    level = F.when(unfinished, "ERROR").when(last["_seconds"] > ceiling, "WARNING")
-    text = F.when(unfinished, F.lit("last run did not complete")).otherwise(
-        F.format_string("run took %d s, average is %.0f s", last["_seconds"], F.col("average"))
+    ceiling = f"average * {limits.max_duration_ratio!r}d"
+    unfinished = "last is not null and last.end_time is null"
+    level = f"case when {unfinished} then 'ERROR' when last._seconds > {ceiling} then 'WARNING' end"
+    text = (
+        f"case when {unfinished} then 'last run did not complete' "
+        "else format_string('run took %d s, average is %.0f s', last._seconds, average) end"
     )
-    candidate = _alert(level, "run_duration", last["run_id"].cast("string"), last["_seconds"], ceiling, text)
-    return _alerts(figures, [candidate])
+    return _alerts(figures, [_alert(level, "run_duration", "last.run_id", "last._seconds", ceiling, text)])
 
 
 def health_report(
@@ -261,13 +269,13 @@ def health_report(
 ) -> DataFrame:
     """All alerts. Three layers, one pass each, plus the newest silver batch and the run log."""
     layers = [bronze_layer(bronze), silver_layer(silver), gold_layer(gold)]
-    moment = _moment(as_of)
-    candidates = [c for layer in layers[:2] for c in _freshness(layer, moment, limits)]
+    candidates = [c for layer in layers[:2] for c in _freshness(layer, limits)]
     candidates += [c for layer in layers for c in _row_count(layer, limits)]
     candidates += [c for layer in layers for c in _nulls(layer, limits)]
     candidates += _retention(layers[0], layers[1], limits)
+    wide = _wide(layers, {"last_record", "row_count", "nulls", "unique_coins"})
     return (
-        _alerts(_wide(layers, {"last_record", "row_count", "nulls", "unique_coins"}), candidates)
+        _alerts(wide.withColumn("as_of", _moment(as_of)), candidates)
         .unionByName(cap_reconciliation(silver, gold, limits))
         .unionByName(run_duration_check(runs, as_of, name, limits))
     )
@@ -276,9 +284,9 @@ def health_report(
 def health_status(alerts: DataFrame) -> DataFrame:
     """One row: ``status`` is 1 if any alert is an ERROR, else 0, with the alert counts."""
     return alerts.agg(
-        F.coalesce(F.max(F.when(F.col("level") == "ERROR", 1).otherwise(0)), F.lit(0)).alias("status"),
-        F.count_if(F.col("level") == "ERROR").alias("errors"),
-        F.count_if(F.col("level") == "WARNING").alias("warnings"),
+        F.expr("coalesce(max(case when level = 'ERROR' then 1 else 0 end), 0) as status"),
+        F.expr("count_if(level = 'ERROR') as errors"),
+        F.expr("count_if(level = 'WARNING') as warnings"),
     )
 
 

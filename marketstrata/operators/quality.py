@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketstrata.functions import iso_instant, number
+from marketstrata.functions import iso_instant, number, quoted, text_literal
 
 
 @dataclass(frozen=True)
@@ -36,24 +36,21 @@ RULES = (
 )
 
 
-def broken(rule: Rule) -> Column:
-    """True where a row breaks the rule; never NULL."""
-    value = F.col(rule.column)
-    if rule.rule == "is_not_null":
-        breach = value.isNull()
-    elif rule.rule == "is_positive_or_null":
-        breach = number(value) < 0
-    elif rule.rule == "is_numeric_or_null":
-        breach = value.isNotNull() & number(value).isNull()
-    elif rule.rule == "is_valid_timestamp":
-        breach = iso_instant(value.cast("string")).isNull()
-    elif rule.rule == "is_valid_timestamp_or_null":
-        breach = value.isNotNull() & iso_instant(value.cast("string")).isNull()
-    elif rule.rule == "is_positive_integer_or_null":
-        breach = (number(value) < 0) | (number(value) != F.floor(number(value)))
-    else:
+def broken(rule: Rule) -> str:
+    """SQL condition that is true where a row breaks the rule, and never NULL."""
+    value = quoted(rule.column)
+    as_number, as_instant = number(value), iso_instant(f"cast({value} as string)")
+    breaches = {
+        "is_not_null": f"{value} is null",
+        "is_positive_or_null": f"{as_number} < 0",
+        "is_numeric_or_null": f"{value} is not null and {as_number} is null",
+        "is_valid_timestamp": f"{as_instant} is null",
+        "is_valid_timestamp_or_null": f"{value} is not null and {as_instant} is null",
+        "is_positive_integer_or_null": f"{as_number} < 0 or {as_number} <> floor({as_number})",
+    }
+    if rule.rule not in breaches:
         raise ValueError(f"unknown rule: {rule.rule}")
-    return F.coalesce(breach, F.lit(False))
+    return f"coalesce({breaches[rule.rule]}, false)"
 
 
 def applicable(df: DataFrame, rules: tuple[Rule, ...] = RULES) -> list[Rule]:
@@ -68,29 +65,23 @@ def validation_report(df: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFra
     Every rule is a counter of the same aggregate, so the data is read once.
     """
     active = applicable(df, rules)
-    counters = [F.count_if(broken(rule)).alias(f"_{i}") for i, rule in enumerate(active)]
-    counted = df.agg(F.count(F.lit(1)).alias("total_records"), *counters)
-    lines = [
-        F.struct(
-            F.lit(rule.column).alias("column"),
-            F.lit(rule.rule).alias("rule"),
-            F.lit(rule.severity).alias("severity"),
-            F.col("total_records").alias("total_records"),
-            F.col(f"_{i}").alias("invalid_records"),
-        )
+    counters = [F.expr(f"count_if({broken(rule)}) as _{i}") for i, rule in enumerate(active)]
+    counted = df.agg(F.expr("count(1) as total_records"), *counters)
+    lines = ", ".join(
+        f"named_struct('column', {text_literal(rule.column)}, 'rule', {text_literal(rule.rule)}, "
+        f"'severity', {text_literal(rule.severity)}, 'total_records', total_records, 'invalid_records', _{i})"
         for i, rule in enumerate(active)
-    ]
-    return counted.select(F.inline(F.array(*lines)))
+    )
+    return counted.selectExpr(f"inline(array({lines}))")
 
 
 def validation_summary(report: DataFrame) -> DataFrame:
     """One row: ``errors`` adds up invalid rows of error rules, ``warnings`` counts broken warning rules."""
-    is_error = F.col("severity") == "error"
     return report.agg(
-        F.coalesce(F.max("total_records"), F.lit(0)).alias("total_records"),
-        F.coalesce(F.sum(F.when(is_error, F.col("invalid_records"))), F.lit(0)).alias("errors"),
-        F.count_if(~is_error & (F.col("invalid_records") > 0)).alias("warnings"),
-    ).withColumn("passed", F.col("errors") == 0)
+        F.expr("coalesce(max(total_records), 0) as total_records"),
+        F.expr("coalesce(sum(case when severity = 'error' then invalid_records end), 0) as errors"),
+        F.expr("count_if(severity <> 'error' and invalid_records > 0) as warnings"),
+    ).withColumn("passed", F.expr("errors = 0"))
 
 
 def require_valid(summary: DataFrame) -> None:
@@ -102,13 +93,12 @@ def require_valid(summary: DataFrame) -> None:
 
 def flag_rows(df: DataFrame, rules: tuple[Rule, ...] = RULES, severity: str = "error") -> DataFrame:
     """Add ``broken_rules``: names ``column:rule`` of the rules of that severity a row breaks."""
-    names = [
-        F.when(broken(rule), F.lit(f"{rule.column}:{rule.rule}"))
+    names = ", ".join(
+        f"case when {broken(rule)} then {text_literal(f'{rule.column}:{rule.rule}')} end"
         for rule in applicable(df, rules)
         if severity in (rule.severity, "any")
-    ]
-    found = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
-    return df.withColumn("broken_rules", found)
+    )
+    return df.withColumn("broken_rules", F.expr(f"cast(array_compact(array({names})) as array<string>)"))
 
 
 def split_rows(

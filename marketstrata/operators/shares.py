@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketstrata.functions import exact_sum, percent_of
+from marketstrata.functions import exact_sum, percent_of, quoted
 from marketstrata.session import stored
 
 # One total is a key and a decimal; this many stay far below the broadcast table limit.
@@ -28,11 +28,11 @@ def market_share(
     instead: a scalar subquery for a single batch, a join on the batch key otherwise.
     """
     if batch is None:
-        total = df.agg(exact_sum(value).alias("total")).scalar()
-        return df.withColumn(out, percent_of(F.col(value), total))
-    totals = df.groupBy(batch).agg(exact_sum(value).alias("_total"))
-    joined = attach_by_key(df, totals, [batch])
-    return joined.withColumn(out, percent_of(F.col(value), F.col("_total"))).drop("_total")
+        joined = df.withColumn("_total", df.agg(F.expr(exact_sum(quoted(value)))).scalar())
+    else:
+        totals = df.groupBy(batch).agg(F.expr(exact_sum(quoted(value))).alias("_total"))
+        joined = attach_by_key(df, totals, [batch])
+    return joined.withColumn(out, F.expr(percent_of(quoted(value), "_total"))).drop("_total")
 
 
 def attach_by_key(

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketstrata.functions import quoted, text_literal
 from marketstrata.operators.conform import missing_columns, stamp_batch
 from marketstrata.operators.dedupe import dedupe_snapshot
 
@@ -26,16 +27,6 @@ log = logging.getLogger(__name__)
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
 
-def quoted(name: str) -> str:
-    """Back-quoted form of a one- to three-part table name."""
-    return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
-
-
-def text_literal(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the schema if absent; with a location its managed tables live there."""
     where = f" LOCATION {text_literal(location)}" if location else ""
@@ -174,7 +165,12 @@ def evolve_union(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return _description(spark, table).get("partition_columns", [])
+
+
+def _description(spark: SparkSession, table: str) -> dict:
+    """What the catalog knows about a table; reads no data and runs no job."""
+    return json.loads(spark.sql(f"DESCRIBE EXTENDED {quoted(table)} AS JSON").first()[0])
 
 
 def new_versions(
@@ -325,9 +321,9 @@ def layer_inventory(spark: SparkSession, schema: str, sample: int = 10) -> DataF
     facts, counts = [], None
     for entry in spark.catalog.listTables(schema):
         table = f"{schema}.{entry.name}"
-        detail = json.loads(spark.sql(f"DESCRIBE EXTENDED {quoted(table)} AS JSON").first()[0])
+        detail = _description(spark, table)
         total, first = 0, []
-        if partition_columns(spark, table):
+        if detail.get("partition_columns"):
             names = spark.sql(f"SHOW PARTITIONS {quoted(table)}").orderBy("partition")
             total, first = names.count(), [row[0] for row in names.take(sample)]
         facts.append((entry.name, detail.get("provider"), detail.get("location"), total, first))

@@ -40,12 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and instants as zone-less timestamps, for comparison across engines."""
     shown = {T.DecimalType: "double", T.TimestampType: "timestamp_ntz"}
-    return df.select(
-        *[
-            F.col(f.name).cast(shown[type(f.dataType)]).alias(f.name) if type(f.dataType) in shown else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    fields = [(f.name, shown.get(type(f.dataType))) for f in df.schema.fields]
+    return df.selectExpr(*[f"cast({name} as {kind}) as {name}" if kind else name for name, kind in fields])
 
 
 def scratch_schema(spark: SparkSession) -> str:
@@ -65,29 +61,28 @@ SPLIT = "1998-06-01"
 
 
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice").cast(MONEY)
-    shipped = F.col("l_shipdate")
+    price = f"cast(l_extendedprice as {MONEY})"
+    split = f"timestamp_ntz '{SPLIT}'"
     trade = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_partkey")
         .agg(
-            exact_sum(price).cast("double").alias("cap"),
-            exact_sum("l_quantity").cast("double").alias("volume"),
-            exact_sum(F.when(shipped >= moment(SPLIT), price)).cast("double").alias("late"),
-            exact_sum(F.when(shipped < moment(SPLIT), price)).cast("double").alias("early"),
-            F.max("l_shipdate").alias("last_updated"),
+            F.expr(f"cast({exact_sum(price)} as double) as cap"),
+            F.expr(f"cast({exact_sum('l_quantity')} as double) as volume"),
+            F.expr(f"cast({exact_sum(f'case when l_shipdate >= {split} then {price} end')} as double) as late"),
+            F.expr(f"cast({exact_sum(f'case when l_shipdate < {split} then {price} end')} as double) as early"),
+            F.expr("max(l_shipdate) as last_updated"),
         )
     )
-    change = (F.lit(100.0) * (F.try_divide("late", "early") - F.lit(1.0))).cast("decimal(10,4)").cast("double")
     part = table(spark, sf_dir, "part")
-    return part.join(trade, part["p_partkey"] == trade["l_partkey"], "left").select(
-        F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("coin_id"),
-        F.col("p_brand").alias("symbol"),
-        F.col("p_name").alias("name"),
-        F.col("p_retailprice").alias("current_price_usd"),
-        F.col("cap").alias("market_cap_usd"),
-        F.col("volume").alias("total_volume_24h"),
-        change.alias("price_change_percentage_24h"),
+    return part.join(trade, part["p_partkey"] == trade["l_partkey"], "left").selectExpr(
+        "concat('c', p_partkey) as coin_id",
+        "p_brand as symbol",
+        "p_name as name",
+        "p_retailprice as current_price_usd",
+        "cap as market_cap_usd",
+        "volume as total_volume_24h",
+        "cast(cast(100d * (try_divide(late, early) - 1d) as decimal(10,4)) as double) as price_change_percentage_24h",
         "last_updated",
     )
 
@@ -123,17 +118,15 @@ shared AS (
 
 def market_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The market in payload columns; the first two coins play bitcoin and ethereum."""
-    coin = F.col("coin_id")
-    named = F.when(coin == "c0", "bitcoin").when(coin == "c1", "ethereum").otherwise(coin)
-    return market(spark, sf_dir).select(
-        named.alias("id"),
+    return market(spark, sf_dir).selectExpr(
+        "case coin_id when 'c0' then 'bitcoin' when 'c1' then 'ethereum' else coin_id end as id",
         "symbol",
         "name",
-        F.col("current_price_usd").alias("current_price"),
-        F.col("market_cap_usd").alias("market_cap"),
-        F.col("total_volume_24h").alias("total_volume"),
+        "current_price_usd as current_price",
+        "market_cap_usd as market_cap",
+        "total_volume_24h as total_volume",
         "price_change_percentage_24h",
-        F.date_format("last_updated", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_updated"),
+        "date_format(last_updated, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") as last_updated",
     )
 
 
@@ -152,23 +145,22 @@ payload AS (
 
 # --- snapshots: a bronze and a silver history from the event stream ---------------------------
 
-ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+ISO = "\"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\""
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """30 daily runs of events as coins, with duplicates, negative prices and NULL symbols."""
-    value = F.col("value")
-    return table(spark, sf_dir, "events").select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id"),
-        F.nullif("event_type", F.lit("error")).alias("symbol"),
-        F.col("event_type").alias("name"),
-        (value - F.lit(5.0)).alias("current_price"),
-        (value * F.lit(1000.0)).alias("market_cap"),
-        (value * F.lit(10.0)).alias("total_volume"),
-        (value - F.lit(50.0)).alias("price_change_percentage_24h"),
-        F.date_format("ts", ISO).alias("last_updated"),
-        F.col("ts").alias("ingestion_timestamp"),
-        F.date_format("ts", "yyyy-MM-dd").alias("pipeline_run_id"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "concat('u', user_id) as id",
+        "nullif(event_type, 'error') as symbol",
+        "event_type as name",
+        "value - 5d as current_price",
+        "value * 1000d as market_cap",
+        "value * 10d as total_volume",
+        "value - 50d as price_change_percentage_24h",
+        f"date_format(ts, {ISO}) as last_updated",
+        "ts as ingestion_timestamp",
+        "date_format(ts, 'yyyy-MM-dd') as pipeline_run_id",
         "event_id",
     )
 
@@ -218,16 +210,15 @@ dirty AS (
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A silver history of daily batches in which errors have no price."""
-    rows = bronze(spark, sf_dir)
-    return rows.select(
-        F.col("id").alias("coin_id"),
+    return bronze(spark, sf_dir).selectExpr(
+        "id as coin_id",
         "symbol",
         "name",
-        F.when(F.col("symbol").isNotNull(), F.col("current_price")).alias("current_price_usd"),
-        F.col("market_cap").alias("market_cap_usd"),
-        F.col("total_volume").alias("total_volume_24h"),
+        "case when symbol is not null then current_price end as current_price_usd",
+        "market_cap as market_cap_usd",
+        "total_volume as total_volume_24h",
         "price_change_percentage_24h",
-        F.date_trunc("day", "ingestion_timestamp").cast("timestamp_ntz").alias("silver_ingestion_time"),
+        "cast(date_trunc('day', ingestion_timestamp) as timestamp_ntz) as silver_ingestion_time",
         "event_id",
     )
 
@@ -246,11 +237,9 @@ silver AS (
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per silver batch, with totals five percent too high."""
-    return (
-        silver(spark, sf_dir)
-        .groupBy(F.col("silver_ingestion_time").alias("as_of_timestamp"))
-        .agg((exact_sum("market_cap_usd").cast("double") * F.lit(1.05)).cast("decimal(38,2)").alias("total_market_cap_usd"))
-    )
+    total = f"cast(cast({exact_sum('market_cap_usd')} as double) * 1.05d as decimal(38,2)) as total_market_cap_usd"
+    batches = silver(spark, sf_dir).withColumnRenamed("silver_ingestion_time", "as_of_timestamp")
+    return batches.groupBy("as_of_timestamp").agg(F.expr(total))
 
 
 GOLD_CTE = (
@@ -270,18 +259,17 @@ gold AS (
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log row per order; several rows share a run id, a third have not ended."""
-    seconds = F.floor(F.col("o_totalprice") / F.lit(1000.0)).cast("bigint")
-    ended = F.col("o_orderstatus") != "P"
-    end = F.timestamp_add("SECOND", seconds, F.col("o_orderdate")).cast("timestamp_ntz")
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("r"), F.col("o_custkey").cast("string")).alias("run_id"),
-        F.when(F.col("o_orderpriority") == "5-LOW", "other").otherwise("market_hourly").alias("pipeline_name"),
-        F.col("o_orderdate").alias("start_time"),
-        F.when(ended, end).alias("end_time"),
-        F.when(ended, seconds.cast("double")).alias("duration_seconds"),
-        F.when(ended, "SUCCESS").otherwise("RUNNING").alias("status"),
-        F.col("o_orderkey").alias("records_processed"),
-        F.create_map(F.lit("priority"), "o_orderpriority").alias("metadata"),
+    seconds, ended = "cast(floor(o_totalprice / 1000d) as bigint)", "o_orderstatus <> 'P'"
+    end = f"cast(timestampadd(second, {seconds}, o_orderdate) as timestamp_ntz)"
+    return table(spark, sf_dir, "orders").selectExpr(
+        "concat('r', o_custkey) as run_id",
+        "case when o_orderpriority = '5-LOW' then 'other' else 'market_hourly' end as pipeline_name",
+        "o_orderdate as start_time",
+        f"case when {ended} then {end} end as end_time",
+        f"case when {ended} then cast({seconds} as double) end as duration_seconds",
+        f"case when {ended} then 'SUCCESS' else 'RUNNING' end as status",
+        "o_orderkey as records_processed",
+        "map('priority', o_orderpriority) as metadata",
     )
 
 
