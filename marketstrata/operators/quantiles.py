@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketstrata.functions import quoted
+
 SLOTS = 4096
 
 
@@ -25,10 +25,10 @@ def exact_quantiles(
     matter. Ranges shrink ``slots``-fold: real columns need two to five passes. Only the ranges
     come to the driver. NULL and NaN are left out.
     """
-    values = df.select(
-        *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)]
+    values = df.selectExpr(
+        *[f"nanvl(cast({quoted(c)} as double), cast(null as double)) as v{i}" for i, c in enumerate(columns)]
     )
-    figures = [f(f"v{i}") for i in range(len(columns)) for f in (F.count, F.min, F.max)]
+    figures = [F.expr(f"{f}(v{i})") for i in range(len(columns)) for f in ("count", "min", "max")]
     first = values.agg(*figures).first()
     answers: dict[tuple[int, float], float | None] = {}
     wanted = []
@@ -50,31 +50,29 @@ def _narrow(values: DataFrame, wanted: list[tuple], slots: int) -> list[tuple]:
     """One counting pass: the same wanted ranks, each within the part of its range that holds it."""
     ranges = sorted({(i, low, high) for i, _, low, high, _ in wanted})
     number = {r: k for k, r in enumerate(ranges)}
-    parts = []
-    for k, (i, low, high) in enumerate(ranges):
-        value = F.col(f"v{i}")
-        slot = F.floor((value - F.lit(low)) / F.lit(high - low) * F.lit(float(slots)))
-        part = F.struct(F.lit(k).alias("range"), slot.alias("slot"), value.alias("value"))
-        parts.append(F.when(value.between(low, high), part))
-    inside = reduce(or_, [F.col(f"v{i}").between(low, high) for i, low, high in ranges])
+    inside = [f"v{i} between {low!r}d and {high!r}d" for i, low, high in ranges]
+    parts = ", ".join(
+        f"case when {inside[k]} then named_struct('range', {k}, "
+        f"'slot', floor((v{i} - {low!r}d) / {high - low!r}d * {slots}d), 'value', v{i}) end"
+        for k, (i, low, high) in enumerate(ranges)
+    )
     counted = (
-        values.filter(inside)
-        .select(F.inline(F.array_compact(F.array(*parts))))
+        values.filter(" or ".join(inside))
+        .selectExpr(f"inline(array_compact(array({parts})))")
         .groupBy("range", "slot")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .agg(F.expr("count(1) as n"), F.expr("min(value) as low"), F.expr("max(value) as high"))
     )
-    upto = F.sum("n").over(Window.partitionBy("range").orderBy("slot"))
-    ranked = counted.withColumn("upto", upto)
-    holds = [
-        F.when(
-            (F.col("range") == number[i, low, high]) & (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank),
-            F.lit(w),
-        )
+    holds = ", ".join(
+        f"case when range = {number[i, low, high]} and before < {rank} and before + n >= {rank} then {w} end"
         for w, (i, _, low, high, rank) in enumerate(wanted)
-    ]
-    hits = ranked.select("*", F.explode(F.array_compact(F.array(*holds))).alias("wanted")).collect()
+    )
+    hits = (
+        counted.selectExpr("*", "sum(n) over (partition by range order by slot) - n as before")
+        .selectExpr("low", "high", "before", f"explode(array_compact(array({holds}))) as wanted")
+        .collect()
+    )
     found = []
     for hit in hits:
         i, p, _, _, rank = wanted[hit["wanted"]]
-        found.append((i, p, hit["low"], hit["high"], rank - (hit["upto"] - hit["n"])))
+        found.append((i, p, hit["low"], hit["high"], rank - hit["before"]))
     return found

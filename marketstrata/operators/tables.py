@@ -320,6 +320,8 @@ def layer_inventory(spark: SparkSession, schema: str, sample: int = 10) -> DataF
     """
     facts, counts = [], None
     for entry in spark.catalog.listTables(schema):
+        if entry.isTemporary or entry.tableType == "VIEW":
+            continue
         table = f"{schema}.{entry.name}"
         detail = _description(spark, table)
         total, first = 0, []

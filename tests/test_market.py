@@ -127,7 +127,7 @@ def test_exact_quantiles_of_awkward_columns(spark):
     hot = [7.0] * 28 + [1.0, 7.000001, 9.0]
     rows = spark.createDataFrame(list(zip(wide, hot, strict=True)), "wide double, hot double")
     ps = [0.01, 0.25, 0.5, 0.75, 1.0]
-    found = exact_quantiles(rows, ["wide", "hot"], ps, slots=8)
+    found = exact_quantiles(rows, ["wide", "hot"], ps, slots=64)
     for name, values in (("wide", wide), ("hot", hot)):
         ordered = sorted(values)
         assert found[name] == [ordered[max(1, math.ceil(p * len(ordered))) - 1] for p in ps]
