@@ -88,9 +88,14 @@ def write_table(
     now: dt.datetime | Column | None = None,
     run_id: str | None = None,
     stamp: bool = True,
+    balance: bool = True,
 ) -> None:
     """Write ``df`` to ``table`` with a save mode, stamping batch metadata where absent.
 
+    A partitioned write is balanced first: one shuffle gives every partition well-sized files
+    instead of one per task, and AQE splits a partition that holds most rows. Turn ``balance``
+    off where all rows belong to one partition anyway.
+
     ``append`` to a table with other columns evolves the table: new columns are added to it and
     absent ones are written as NULL (asked for with ``merge_schema``, otherwise with a warning).
     A plain ``overwrite`` keeps the columns of the table in the same way; ``overwrite_schema``
@@ -111,8 +116,7 @@ def write_table(
         if mode == "append" or (mode == "overwrite" and not overwrite_schema):
             df = _aligned(df, table, merge_schema)
             partition_by = partition_by or partition_columns(spark, table)
-    if mode == "overwrite" and partition_by:
-        # Sized files per partition in the same pass; AQE splits a partition that is too big.
+    if partition_by and balance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.format("parquet").mode(mode)
     if partition_by:

@@ -80,6 +80,21 @@ def test_merge_shuffles_each_side_once(spark):
     assert "partial_max" in plan
 
 
+def test_partitioned_write_makes_few_files_and_splits_hot_partitions(spark, schema):
+    """Eight tasks hold every day; one day holds most rows."""
+    rows = spark.range(0, 80_000, 1, 8).selectExpr("id", "md5(cast(id as string)) as pad", "if(id % 10 = 0, 'b', 'a') as day")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        tables.write_table(rows, f"{schema}.days", partition_by=["day"], stamp=False)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    found = spark.read.table(f"{schema}.days")
+    files = found.groupBy("day", F.input_file_name().alias("f")).count().groupBy("day").count().collect()
+    files = {r["day"]: r["count"] for r in files}
+    assert found.count() == 80_000
+    assert files["b"] < 8 and files["a"] > 1
+
+
 def test_shared_folder_follows_the_session(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
