@@ -204,7 +204,8 @@ def incremental_silver(spark, sf_dir):
     return plain(
         spark.read.table(f"{schema}.silver").select(
             "coin_id", "last_updated", "current_price_usd", "market_cap_usd", "pipeline_run_id", "market_dominance"
-        )
+        ),
+        utc=True,
     )
 
 
@@ -220,4 +221,4 @@ def hourly(spark, sf_dir):
     tables = LayerTables.under(scratch_schema(spark))
     now = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
     hourly_run(spark, market_payload(spark, sf_dir), tables, "run_1706745600", now, clock=lambda: now)
-    return plain(spark.read.table(tables.metrics))
+    return plain(spark.read.table(tables.metrics), utc=True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketstrata.contracts import BRONZE, SILVER
 from marketstrata.operators import conform, quality
 from marketstrata.operators.dedupe import dedupe_snapshot
-from marketstrata.showcase.standins import BRONZE_CTE, DIRTY, bronze, dirty, moment, plain, query
+from marketstrata.showcase.standins import BRONZE_CTE, DIRTY, bronze, dirty, instant, moment, plain, query
 from marketstrata.sources.payloads import project_narrow_snapshot
 
 NOW = "2024-02-01 00:30:00"
@@ -111,7 +111,7 @@ def silver_transform(spark, sf_dir):
             "ath_date": F.when(kind == "view", F.col("last_updated")).otherwise("never"),
         }
     )
-    found = plain(conform.silver_transform(rows, moment(NOW), batch="pipeline_run_id"))
+    found = plain(conform.silver_transform(rows, instant(NOW), batch="pipeline_run_id"), utc=True)
     return found.withColumn("market_cap_rank", F.coalesce("market_cap_rank", F.lit(-1)))
 
 

@@ -37,11 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and instants as zone-less timestamps, for comparison across engines."""
-    shown = {T.DecimalType: "double", T.TimestampType: "timestamp_ntz"}
+def plain(df: DataFrame, utc: bool = False) -> DataFrame:
+    """Decimals as doubles and instants as zone-less timestamps, for comparison across engines.
+
+    Instants made from zone-less test data go back the way they came, through the session zone.
+    With ``utc`` they are true instants and are shown in UTC.
+    """
+    moved = "to_utc_timestamp({0}, current_timezone())" if utc else "{0}"
+    shown = {T.DecimalType: "cast({0} as double)", T.TimestampType: f"cast({moved} as timestamp_ntz)"}
     fields = [(f.name, shown.get(type(f.dataType))) for f in df.schema.fields]
-    return df.selectExpr(*[f"cast({name} as {kind}) as {name}" if kind else name for name, kind in fields])
+    return df.selectExpr(*[f"{form.format(name)} as {name}" if form else name for name, form in fields])
 
 
 def scratch_schema(spark: SparkSession) -> str:
@@ -55,6 +60,10 @@ def moment(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
+def instant(text: str):
+    return F.lit(f"{text}Z").cast("timestamp")
+
+
 # --- a market: one coin per part --------------------------------------------------------------
 
 SPLIT = "1998-06-01"
