@@ -63,10 +63,13 @@ def market_page(
     category: str | None = None,
     vs_currency: str | None = None,
     sparkline: bool = True,
+    price_change_percentage: str | None = None,
 ) -> DataFrame:
     """One page of a market snapshot: filter, order (ties by id), cut.
 
     ``category`` and ``vs_currency`` filter columns of that name where the data has them.
+    ``price_change_percentage`` lists the periods, such as ``"24h,7d"``, whose in-currency
+    changes are kept; the others are dropped.
     """
     key, _, direction = order.rpartition("_")
     if key not in ORDER_KEYS or direction not in ("asc", "desc"):
@@ -80,6 +83,10 @@ def market_page(
             df = df.filter(F.col(column) == wanted)
     if not sparkline:
         df = df.drop("sparkline_in_7d")
+    if price_change_percentage is not None:
+        kept = {f"price_change_percentage_{p.strip()}_in_currency" for p in price_change_percentage.split(",")}
+        periods = [c for c in df.columns if c.startswith("price_change_") and c.endswith("_in_currency")]
+        df = df.drop(*[c for c in periods if c not in kept])
     value = F.col(ORDER_KEYS[key])
     sort = value.desc_nulls_last() if direction == "desc" else value.asc_nulls_last()
     return df.orderBy(sort, F.col("id").asc_nulls_last()).offset((page - 1) * per_page).limit(per_page)
@@ -129,14 +136,14 @@ def split_charts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def explode_market_chart(
     df: DataFrame,
-    days: int | None = None,
+    days: int | str | None = None,
     interval: str | None = None,
     as_of: dt.datetime | Column | None = None,
 ) -> DataFrame:
     """Charts to ``coin_id, ts, price, market_cap, total_volume``, one row per time.
 
-    ``days`` keeps the times after ``as_of - days``; ``interval="daily"`` keeps the last point
-    of each day.
+    ``days`` keeps the times after ``as_of - days``, all of them for ``"max"``;
+    ``interval="daily"`` keeps the last point of each day.
     """
     good, _ = split_charts(df)
     points = good.select("coin_id", F.inline(F.arrays_zip("prices", "market_caps", "total_volumes"))).select(
@@ -146,11 +153,11 @@ def explode_market_chart(
         F.col("market_caps")[1].alias("market_cap"),
         F.col("total_volumes")[1].alias("total_volume"),
     )
-    if days is not None:
+    if days is not None and days != "max":
         if as_of is None:
             raise ValueError("days needs as_of")
         moment = as_of if isinstance(as_of, Column) else F.lit(as_of)
-        points = points.filter(F.col("ts") > moment - F.make_dt_interval(F.lit(days)))
+        points = points.filter(F.col("ts") > moment - F.make_dt_interval(F.lit(int(days))))
     if interval is None:
         return points
     if interval != "daily":

@@ -71,6 +71,13 @@ def test_pages_are_disjoint_and_complete(spark):
             payloads.market_page(rows, **bad)
 
 
+def test_page_keeps_requested_periods(spark):
+    page = payloads.market_page(spark.createDataFrame([], PAYLOAD), price_change_percentage="7d")
+    assert "price_change_percentage_7d_in_currency" in page.columns
+    assert "price_change_percentage_24h_in_currency" not in page.columns
+    assert "price_change_percentage_24h" in page.columns
+
+
 def test_narrow_snapshot(spark):
     rows = spark.createDataFrame([("a", "abc", None, 1.0, None)], "id string, symbol string, name string, current_price double, last_updated string")
     now = dt.datetime(2024, 1, 1, tzinfo=UTC)
@@ -118,6 +125,7 @@ def test_chart_days_and_daily(spark):
     assert [(p["ts"].day, p["price"]) for p in daily] == [(1, 50000.0), (2, 50002.0)]
     as_of = dt.datetime(2021, 12, 2, 12, tzinfo=UTC)
     assert payloads.explode_market_chart(charts, days=1, as_of=as_of).count() == 2
+    assert payloads.explode_market_chart(charts, days="max").count() == 3
     with pytest.raises(ValueError):
         payloads.explode_market_chart(charts, days=1)
     with pytest.raises(ValueError):
