@@ -19,6 +19,9 @@ ORDER_KEYS = {
     "price": "current_price",
 }
 
+# Epoch milliseconds of the years 1 to 9999.
+EPOCH_MILLIS = (-62_135_596_800_000, 253_402_300_799_999)
+
 REJECTED = "_rejected"
 
 
@@ -41,10 +44,22 @@ def scan_market_payload(
 
 
 def decode_market_payload(df: DataFrame, text: str, schema: T.StructType = PAYLOAD) -> DataFrame:
-    """One row per coin from a column of JSON text, a list of coins or a single one."""
+    """One row per coin from a column of JSON text, a list of coins or a single one.
+
+    Text that is not JSON gives no rows here; ``rejected_payloads`` returns it.
+    """
+    return df.select(F.inline(_decoded(text, schema)))
+
+
+def rejected_payloads(df: DataFrame, text: str, schema: T.StructType = PAYLOAD) -> DataFrame:
+    """The rows of ``df`` whose text cannot be decoded."""
+    return df.filter(_decoded(text, schema).isNull())
+
+
+def _decoded(text: str, schema: T.StructType) -> Column:
     body = F.ltrim(F.col(text))
     listed = F.when(body.startswith("["), body).otherwise(F.concat(F.lit("["), body, F.lit("]")))
-    return df.select(F.inline(F.from_json(listed, T.ArrayType(schema))))
+    return F.from_json(listed, T.ArrayType(schema))
 
 
 def require_rows(df: DataFrame) -> DataFrame:
@@ -124,9 +139,11 @@ def decode_chart(df: DataFrame, text: str, coin: str = "coin_id") -> DataFrame:
 
 
 def same_grid() -> Column:
-    """True where the three series of a chart carry the same times in the same order."""
-    times = [F.transform(c, lambda p: p[0]) for c in ("prices", "market_caps", "total_volumes")]
-    return F.coalesce((times[0] == times[1]) & (times[1] == times[2]), F.lit(False))
+    """True where the three series of a chart carry the same valid times in the same order."""
+    times = [f"transform({series}, p -> get(p, 0))" for series in ("prices", "market_caps", "total_volumes")]
+    first, last = (str(limit) for limit in EPOCH_MILLIS)
+    valid = f"forall({times[0]}, t -> t between {first} and {last})"
+    return F.expr(f"coalesce({times[0]} = {times[1]} and {times[0]} = {times[2]} and {valid}, false)")
 
 
 def split_charts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -146,12 +163,12 @@ def explode_market_chart(
     ``interval="daily"`` keeps the last point of each day.
     """
     good, _ = split_charts(df)
-    points = good.select("coin_id", F.inline(F.arrays_zip("prices", "market_caps", "total_volumes"))).select(
+    points = good.select("coin_id", F.inline(F.arrays_zip("prices", "market_caps", "total_volumes"))).selectExpr(
         "coin_id",
-        F.timestamp_millis(F.col("prices")[0].cast("bigint")).alias("ts"),
-        F.col("prices")[1].alias("price"),
-        F.col("market_caps")[1].alias("market_cap"),
-        F.col("total_volumes")[1].alias("total_volume"),
+        "timestamp_millis(cast(get(prices, 0) as bigint)) as ts",
+        "get(prices, 1) as price",
+        "get(market_caps, 1) as market_cap",
+        "get(total_volumes, 1) as total_volume",
     )
     if days is not None and days != "max":
         if as_of is None:

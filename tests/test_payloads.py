@@ -47,6 +47,10 @@ def test_unreadable_documents_are_kept_aside(spark, landing):
 def test_decode_text_column(spark):
     texts = spark.createDataFrame([(json.dumps(COINS),), (json.dumps(COINS[0]),)], "body string")
     assert payloads.decode_market_payload(texts, "body", PAYLOAD).count() == 3
+    bad = spark.createDataFrame([("<html>",), (None,), ('[{"id": "a"',)], "body string")
+    both = texts.unionByName(bad)
+    assert payloads.decode_market_payload(both, "body").filter("symbol is not null").count() == 3
+    assert payloads.rejected_payloads(both, "body").count() == 3
 
 
 def test_empty_payload_raises(spark, coins):
@@ -119,6 +123,17 @@ def test_chart_points_and_rejects(spark):
     assert sorted(r["coin_id"] for r in rejected.collect()) == ["broken", "shifted", "short"]
 
 
+def test_malformed_points_are_rejected_or_null(spark):
+    def chart(*points):
+        return json.dumps({name: points for name in ("prices", "market_caps", "total_volumes")})
+
+    rows = [("no_value", chart([START])), ("no_time", chart([])), ("null_time", chart([None, 1])), ("far", chart([1e300, 1]))]
+    charts = payloads.decode_chart(spark.createDataFrame(rows, "coin_id string, body string"), "body")
+    assert [(p["coin_id"], p["price"]) for p in payloads.explode_market_chart(charts).collect()] == [("no_value", None)]
+    _, rejected = payloads.split_charts(charts)
+    assert sorted(r["coin_id"] for r in rejected.collect()) == ["far", "no_time", "null_time"]
+
+
 def test_chart_days_and_daily(spark):
     charts = _charts(spark)
     daily = payloads.explode_market_chart(charts, interval="daily").orderBy("ts").collect()
