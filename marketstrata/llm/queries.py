@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstrata.llm import chat, embeddings, secrets, simhash, url_filters
+from marketstrata.llm import chat, embeddings, language, secrets, simhash, toxicity, url_filters
 from marketstrata.llm.common import table
 
 #: Fixed values of the URL query: host, path, action.
@@ -41,12 +41,25 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), width=3, seed=42, budget=3)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language.identify_language(documents, language.train_language(documents))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.train_toxicity(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(documents, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_url_filter": op3_url_filter,
     "op6_chat_format": op6_chat_format,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_toxicity": op9_toxicity,
 }
 
 _HOST = r"""CASE WHEN contains(url, '://') THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
