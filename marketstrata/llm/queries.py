@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstrata.llm import chat, embeddings, language, secrets, simhash, toxicity, url_filters
+from marketstrata.llm import chat, embeddings, language, packing, secrets, simhash, toxicity, url_filters
 from marketstrata.llm.common import table
 
 #: Fixed values of the URL query: host, path, action.
@@ -33,6 +33,17 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def tokenizer_path() -> str:
+    """The tokenizer named by the packing query's contract."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chat(table(spark, sf_dir, "conversations"))
 
@@ -56,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_url_filter": op3_url_filter,
+    "op5_packing": op5_packing,
     "op6_chat_format": op6_chat_format,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_language_id": op8_language_id,
