@@ -72,3 +72,33 @@ def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_powers: dict[str, np.ndarray] = {}
+
+
+def _power(base: np.uint64, n: int) -> np.ndarray:
+    """``base`` to the powers 0 to n, modulo 2**64; the longest table so far is kept."""
+    held = _powers.get(str(base))
+    if held is None or len(held) <= n:
+        held = np.full(max(n + 1, 1 << 16), base, np.uint64)
+        held[0] = 1
+        held = _powers[str(base)] = np.multiply.accumulate(held)
+    return held
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span of ``values``, from differences of one running sum; equal spans have equal hashes."""
+    n = len(values)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _power(_BASE, n)[:n], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _power(_UNBASE, n)[starts])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstrata.llm import chat, embeddings, language, packing, secrets, simhash, toxicity, url_filters
+from marketstrata.llm import chat, embeddings, language, packing, secrets, simhash, substrings, toxicity, url_filters
 from marketstrata.llm.common import table
 
 #: Fixed values of the URL query: host, path, action.
@@ -63,6 +63,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents, model)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _HOST = r"""CASE WHEN contains(url, '://') THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
