@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstrata.llm import chat, embeddings, language, packing, secrets, simhash, substrings, toxicity, url_filters
+from marketstrata.llm import chat, decontaminate, embeddings, language, packing, secrets, simhash, substrings, toxicity, url_filters
 from marketstrata.llm.common import table
 
 #: Fixed values of the URL query: host, path, action.
@@ -33,6 +33,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    finder = decontaminate.fit_leak_finder(documents, benchmark)
+    return decontaminate.benchmark_leaks(documents, finder, benchmark.schema["item_id"].dataType.simpleString())
+
+
 def tokenizer_path() -> str:
     """The tokenizer named by the packing query's contract."""
     import public_tokenizers
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_url_filter": op3_url_filter,
+    "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_chat_format": op6_chat_format,
     "op7_simhash_dedup": op7_simhash_dedup,
