@@ -18,7 +18,7 @@ from marketstrata.session import stored
 WINDOW = 50
 ANCHOR = 12
 SHARD_PIECES = 6000
-HOT_TEXTS = 64
+HOT_TEXTS = 1500
 
 
 def _normal(text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
