@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -17,88 +19,62 @@ from marketstrata.session import stored
 WINDOW = 2048
 END_ID = 1
 SHARD_TAILS = 768
-CACHE_CHUNKS = 150_000
 _COUNT_ROWS = 1024
-#: White space beside the plain space; texts that hold any are given to the tokenizer whole.
-_OTHER_SPACE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0                　"
-
-
-class ChunkTokenizer:
-    """Token ids of whole texts, remembering the ids of frequent stretches between spaces.
-
-    The tokenizer always starts a new piece before a single space between two signs that are no white space,
-    so a text of such stretches has the ids of its stretches one after another. Any other text goes to the
-    tokenizer whole. The memory is cleared when it is full, so it is bounded.
+#: Signs on which two pre-tokenizers can be trusted to agree; any other text goes to the tokenizer itself.
+_COMMON = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f\u2010-\u2027\u2030-\u205e]")
+#: Fixed value: the split pattern of byte-level pre-tokenizers.
+_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _byte_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Tokens as bytes with their ids, if the file is a plain byte-level BPE whose merges rank by id."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = (
+        model.get("type") == "BPE"
+        and before.get("type") == "ByteLevel"
+        and before.get("use_regex", True)
+        and not before.get("add_prefix_space")
+        and not spec.get("normalizer")
+        and not model.get("dropout")
+        and not model.get("ignore_merges")
+    )
+    if not plain:
+        return None
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
+    vocab = {t: i for t, i in model["vocab"].items() if all(c in byte for c in t)}
+    merged = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
+    if any(x >= y for x, y in zip(merged, merged[1:], strict=False)) or merged[:1] == [-1]:
+        return None
+    special = {t["content"] for t in spec.get("added_tokens", ())}
+    return {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in special}
+
+
+class FastTokenizer:
+    """The ids that the tokenizer of a file gives to whole texts.
+
+    A byte-level BPE is run by a quicker library from the same file's vocabulary and merges; texts with a
+    special token or uncommon signs, and all texts under other kinds of file, go to the tokenizer itself.
     """
 
-    def __init__(self, path: str, cache: int = CACHE_CHUNKS):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache_size = cache
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = [0]
-
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-
-    def _plain(self, text: str) -> bool:
-        return not (
-            "  " in text
-            or " \n" in text
-            or "\n " in text
-            or " \t" in text
-            or "\t " in text
-            or " \r" in text
-            or "\r " in text
-            or text[:1] == " "
-            or text[-1:] == " "
-            or any(s in text for s in self.special)
-            or (not text.isascii() and any(c in text for c in _OTHER_SPACE))
-            or (text.isascii() and any(c in text for c in _OTHER_SPACE[:6]))
-        )
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.special = [t["content"] for t in spec.get("added_tokens", ())]
+        ranks = _byte_ranks(spec)
+        self.quick = None
+        if ranks:
+            import tiktoken
+
+            self.quick = tiktoken.Encoding("own", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def _learn(self, chunks: list[str]) -> None:
-        found = self.tokenizer.encode_batch(chunks, add_special_tokens=False)
-        at = self.ends[-1]
-        for chunk, encoding in zip(chunks, found, strict=True):
-            ids = encoding.ids
-            if at + len(ids) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * (at + len(ids)))
-            self.flat[at : at + len(ids)] = ids
-            at += len(ids)
-            self.known[chunk] = len(self.ends) - 1
-            self.ends.append(at)
-
-    def __call__(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if not self._plain(text):
-            return self.whole(text)
-        chunks = text.split(" ")
-        # The first stretch has no space before it: a key of its own.
-        chunks = [chunks[0], *[" " + c for c in chunks[1:]]]
-        known = self.known
-        unknown = [c for c in dict.fromkeys(chunks) if c not in known]
-        if unknown:
-            if len(known) + len(unknown) > self.cache_size:
-                known.clear()
-                self.ends = [0]
-                self.flat = np.zeros(1 << 16, np.uint32)
-                unknown = list(dict.fromkeys(chunks))
-            self._learn(unknown)
-        at = np.fromiter((known[c] for c in chunks), np.int64, len(chunks))
-        ends = np.array(self.ends) if len(chunks) > 2000 else None
-        if ends is None:
-            starts = np.fromiter((self.ends[k] for k in at), np.int64, len(at))
-            stops = np.fromiter((self.ends[k + 1] for k in at), np.int64, len(at))
-        else:
-            starts, stops = ends[at], ends[at + 1]
-        sizes = stops - starts
-        places = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-        return self.flat[places]
+    def __call__(self, text: str) -> list[int]:
+        if self.quick is None or _COMMON.search(text) or any(s in text for s in self.special):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.quick(text)
 
 
 def tokenized(documents: DataFrame, tokenizer_path: str, text: str, id_column: str) -> DataFrame:
@@ -108,13 +84,13 @@ def tokenized(documents: DataFrame, tokenizer_path: str, text: str, id_column: s
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ChunkTokenizer(tokenizer_path)
+        encode = FastTokenizer(tokenizer_path)
         for batch in batches:
             names, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in text_batches(texts):
                 counts, sums, tails = [], [], []
                 for value in texts[a:b]:
-                    ids = np.append(encode(value or ""), np.uint32(END_ID)).astype("<u4")
+                    ids = np.array([*encode(value or ""), END_ID], dtype="<u4")
                     full = len(ids) // WINDOW
                     counts.append(len(ids))
                     sums.append([zlib.crc32(ids[k * WINDOW : (k + 1) * WINDOW]) for k in range(full)])
