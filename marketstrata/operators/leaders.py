@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketstrata.contracts import LEADERS
 from marketstrata.operators.conform import fit_contract
@@ -23,7 +24,7 @@ LEADER_COLUMNS = [
 def top_by_market_cap(
     df: DataFrame, k: int = 10, batch: str | None = None, value: str = "market_cap_usd"
 ) -> DataFrame:
-    """Rows with ``rank() <= k`` by descending ``value``; ties share a rank, NULLs rank last.
+    """Rows with ``rank() <= k`` by descending ``value``; ties share a rank, NULL and NaN rank last.
 
     Rank only depends on the ``k`` greatest values, which every map task can prune to. Their
     ranks are worked out on at most ``k`` rows per batch and joined back, so that any number of
@@ -31,21 +32,29 @@ def top_by_market_cap(
     """
     falling = F.col("_value").desc_nulls_last()
     if batch is None:
-        values = df.select(F.col(value).alias("_value")).orderBy(falling).limit(k)
+        df = df.withColumn("_rankable", number_or_null(df, value))
+        values = df.select(F.col("_rankable").alias("_value")).orderBy(falling).limit(k)
         levels = values.withColumn("rank", F.rank().over(Window.orderBy(falling))).distinct()
-        joined = df.join(F.broadcast(levels), F.col(value).eqNullSafe(F.col("_value")))
-        return joined.drop("_value")
+        joined = df.join(F.broadcast(levels), F.col("_rankable").eqNullSafe(F.col("_value")))
+        return joined.drop("_value", "_rankable")
     per_batch = Window.partitionBy("_batch").orderBy(falling)
-    values = df.select(F.col(batch).alias("_batch"), F.col(value).alias("_value"))
+    df = df.withColumn("_rankable", number_or_null(df, value))
+    values = df.select(F.col(batch).alias("_batch"), F.col("_rankable").alias("_value"))
     values = values.withColumn("_n", F.row_number().over(per_batch)).filter(F.col("_n") <= k).drop("_n")
     levels = values.withColumn("rank", F.rank().over(per_batch)).distinct()
-    small = levels.withColumnsRenamed({"_batch": batch, "_value": value})
-    return attach_by_key(df, small, [batch, value], how="inner")
+    small = levels.withColumnsRenamed({"_batch": batch, "_value": "_rankable"})
+    return attach_by_key(df, small, [batch, "_rankable"], how="inner").drop("_rankable")
+
+
+def number_or_null(df: DataFrame, value: str) -> Column:
+    """The column with NaN as NULL: Spark would order NaN above every number."""
+    floating = isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType))
+    return F.when(~F.isnan(value), F.col(value)) if floating else F.col(value)
 
 
 def top_by(df: DataFrame, value: str, k: int = 10, tie: str = "coin_id") -> DataFrame:
-    """The ``k`` rows greatest by ``value``; equal values are ordered by ``tie``."""
-    return df.orderBy(F.col(value).desc_nulls_last(), F.col(tie).asc_nulls_last()).limit(k)
+    """The ``k`` rows greatest by ``value``, NaN and NULL last; equal values are ordered by ``tie``."""
+    return df.orderBy(number_or_null(df, value).desc_nulls_last(), F.col(tie).asc_nulls_last()).limit(k)
 
 
 def top_gainers(df: DataFrame, k: int = 10) -> DataFrame:

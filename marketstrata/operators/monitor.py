@@ -8,6 +8,7 @@ the single row that joins those figures. Comparisons are strict. Alerts are
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -298,5 +299,39 @@ def guarded(spark: SparkSession, check: str, build: Callable[[], DataFrame]) ->
     try:
         return spark.createDataFrame(build().collect(), ALERTS)
     except (PySparkException, Py4JError, ValueError) as problem:
-        row = ("ERROR", check, check, None, None, f"error in {check}: {problem}"[:1000])
+        row = ("ERROR", check, check, None, None, f"error in {check}: {problem}")
         return spark.createDataFrame([row], ALERTS)
+
+
+def guarded_report(
+    spark: SparkSession,
+    bronze: Callable[[], DataFrame],
+    silver: Callable[[], DataFrame],
+    gold: Callable[[], DataFrame],
+    runs: Callable[[], DataFrame],
+    as_of,
+    name: str | None = None,
+    limits: Thresholds = DEFAULTS,
+    batch: DataFrame | None = None,
+) -> DataFrame:
+    """All alerts, each check guarded by itself: one that fails is an ERROR beside the alerts of the others.
+
+    Tables come as functions, so that a missing one fails only its own checks. ``batch`` is the rows the newest
+    gold total was computed from; without it the reconciliation is left out.
+    """
+
+    def layer(make: Callable[[DataFrame], Layer], rows: Callable[[], DataFrame], fresh: bool) -> DataFrame:
+        one = make(rows())
+        wanted = [*(_freshness(one, limits) if fresh else []), *_row_count(one, limits), *_nulls(one, limits)]
+        return _alerts(_wide([one], {"last_record", "row_count", "nulls"}).withColumn("as_of", _moment(as_of)), wanted)
+
+    checks: dict[str, Callable[[], DataFrame]] = {
+        "bronze": lambda: layer(bronze_layer, bronze, True),
+        "silver": lambda: layer(silver_layer, silver, True),
+        "gold": lambda: layer(gold_layer, gold, False),
+        "layer_retention": lambda: layer_retention(bronze_layer(bronze()), silver_layer(silver()), limits),
+        "run_duration": lambda: run_duration_check(runs(), as_of, name, limits),
+    }
+    if batch is not None:
+        checks["cap_reconciliation"] = lambda: cap_reconciliation(batch, gold(), limits)
+    return reduce(DataFrame.unionByName, [guarded(spark, check, build) for check, build in checks.items()])

@@ -42,11 +42,11 @@ def broken(rule: Rule) -> str:
     as_number, as_instant = number(value), iso_instant(f"cast({value} as string)")
     breaches = {
         "is_not_null": f"{value} is null",
-        "is_positive_or_null": f"{as_number} < 0",
-        "is_numeric_or_null": f"{value} is not null and {as_number} is null",
+        "is_positive_or_null": f"{as_number} < 0 or isnan({as_number})",
+        "is_numeric_or_null": f"{value} is not null and {as_number} is null or isnan({as_number})",
         "is_valid_timestamp": f"{as_instant} is null",
         "is_valid_timestamp_or_null": f"{value} is not null and {as_instant} is null",
-        "is_positive_integer_or_null": f"{as_number} < 0 or {as_number} <> floor({as_number})",
+        "is_positive_integer_or_null": f"{as_number} < 0 or isnan({as_number}) or {as_number} <> floor({as_number})",
     }
     if rule.rule not in breaches:
         raise ValueError(f"unknown rule: {rule.rule}")

@@ -9,11 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketstrata.functions import exact_sum, percent_of, quoted
-from marketstrata.session import stored
-
-# One total is a key and a decimal; this many stay far below the broadcast table limit.
-BROADCAST_ROWS = 200_000
-SALTS = 64
 
 
 def market_share(
@@ -40,21 +35,12 @@ def attach_by_key(
     small: DataFrame,
     keys: list[str],
     how: str = "left",
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Join ``small`` (unique on ``keys``) to ``rows`` where one key may hold most rows.
+    """Join ``small`` (unique on ``keys``) to ``rows`` where one key may hold most rows; NULL keys match.
 
-    ``small`` is written once and counted. Up to ``BROADCAST_ROWS`` it is broadcast and ``rows``
-    are not shuffled. Beyond that both sides are salted, so a hot key spreads over ``SALTS``
-    tasks. The salt is the map partition, which a retried task reproduces. NULL keys match.
+    Nothing runs here. Spark broadcasts ``small`` where its measured size allows it; otherwise both sides are
+    shuffled by the keys and a hot key is split at run time over as many tasks as its bytes need.
     """
-    small = stored(small, "by-key").withColumnsRenamed({key: f"_key_{key}" for key in keys})
-    extra = [f"_key_{key}" for key in keys]
+    small = small.withColumnsRenamed({key: f"_key_{key}" for key in keys})
     match = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_key_{key}")) for key in keys])
-    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    if small.count() <= limit:
-        return rows.join(F.broadcast(small), match, how).drop(*extra)
-    copies = small.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    match = match & (F.col("_salt") == F.col("_copy"))
-    return salted.join(copies, match, how).drop(*extra, "_salt", "_copy")
+    return rows.join(small, match, how).drop(*[f"_key_{key}" for key in keys])

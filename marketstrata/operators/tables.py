@@ -153,12 +153,14 @@ def _aligned(df: DataFrame, table: str, merge_schema: bool) -> DataFrame:
 
 
 def _writable(given: T.DataType, known: T.DataType) -> bool:
-    """Equal types, a typeless NULL, another precision of decimal, or a widening number."""
-    widening = ["tinyint", "smallint", "int", "bigint", "float", "double"]
+    """Equal types, a typeless NULL, or a number that the known type holds without loss."""
     have, want = given.simpleString(), known.simpleString()
-    if have in widening and want in widening:
-        return widening.index(have) <= widening.index(want)
-    return have in (want, "void") or (have.startswith("decimal") and want.startswith("decimal"))
+    for widening in (["tinyint", "smallint", "int", "bigint"], ["tinyint", "smallint", "int", "double"], ["float", "double"]):
+        if have in widening and want in widening:
+            return widening.index(have) <= widening.index(want)
+    if isinstance(given, T.DecimalType) and isinstance(known, T.DecimalType):
+        return given.scale <= known.scale and given.precision - given.scale <= known.precision - known.scale
+    return have in (want, "void")
 
 
 def evolve_union(first: DataFrame, *others: DataFrame) -> DataFrame:
@@ -254,6 +256,14 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: list[str], bal
         aligned.write.mode("overwrite").insertInto(table)
 
 
+def drop_partition(spark: SparkSession, table: str, partition: dict[str, str]) -> None:
+    """Remove one partition, named by all its text columns, if it is there."""
+    if table_exists(spark, table):
+        named = ", ".join(f"{quoted(c)} = {text_literal(v)}" for c, v in partition.items())
+        spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({named})")
+        spark.catalog.refreshTable(table)
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Inserts into catalog tables take this mode from the session only, not from the writer."""

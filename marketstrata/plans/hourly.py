@@ -11,18 +11,19 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from marketstrata.contracts import ALERTS, BRONZE, LEADERS, MERGE_KEYS, METRICS, PAYLOAD, RUN_LOG, SILVER
-from marketstrata.operators.batches import latest_batch, latest_run
 from marketstrata.operators.conform import conform_bronze, missing_columns, silver_transform, stamp_batch
 from marketstrata.operators.dedupe import dedupe_snapshot
 from marketstrata.operators.leaders import gold_leaders
 from marketstrata.operators.metrics import gold_metrics
-from marketstrata.operators.monitor import DEFAULTS, Thresholds, guarded, health_report
+from marketstrata.operators.monitor import DEFAULTS, Thresholds, guarded_report
 from marketstrata.operators.quality import require_valid, split_rows, validation_report, validation_summary
 from marketstrata.operators.runlog import append_run_log, observe_ingest, run_record
 from marketstrata.operators.tables import (
     create_typed_table,
+    drop_partition,
     ensure_schema,
     insert_only_merge,
     overwrite_partitions,
@@ -102,9 +103,15 @@ def ingest_bronze(payload: DataFrame, tables: LayerTables, result: RunResult, no
     }
 
 
-def refine_silver(spark: SparkSession, tables: LayerTables, now: dt.datetime, strict: bool) -> None:
-    """Validate the newest run, quarantine broken rows, merge the rest into the history."""
-    good = run = latest_run(spark.read.table(tables.bronze))
+def refine_silver(spark: SparkSession, tables: LayerTables, run_id: str, now: dt.datetime, strict: bool) -> DataFrame:
+    """Validate this run, quarantine broken rows, merge the rest into the history.
+
+    Returns the run's valid rows in silver form, stored once: the merge and the gold layer both read them, so
+    gold covers the run's whole market, also the coins whose version silver already has.
+    """
+    good = run = spark.read.table(tables.bronze).filter(F.col(RUN) == run_id)
+    # A run that is repaired must not keep the rows that were set aside before.
+    drop_partition(spark, tables.quarantine, {RUN: run_id})
     if strict:
         # Passing means that no row broke an error rule, so there is nothing to set aside.
         require_valid(validation_summary(validation_report(run)))
@@ -112,28 +119,38 @@ def refine_silver(spark: SparkSession, tables: LayerTables, now: dt.datetime, st
         good, bad = split_rows(run)
         overwrite_partitions(bad, tables.quarantine, [RUN])
     # Error rules reject NULL merge keys, so none are left among the good rows.
-    insert_only_merge(silver_transform(good, now), tables.silver, MERGE_KEYS, keep_null_keys=False)
+    versions = stored(silver_transform(good, now), "run-versions")
+    insert_only_merge(versions, tables.silver, MERGE_KEYS, keep_null_keys=False)
+    return versions
 
 
-def aggregate_gold(spark: SparkSession, tables: LayerTables) -> None:
-    """Metrics of the newest batch, once per batch, and its leaders."""
-    batch = latest_batch(spark.read.table(tables.silver))
+def aggregate_gold(spark: SparkSession, tables: LayerTables, batch: DataFrame) -> None:
+    """Metrics of a run's market, once per batch; its leaders, unless a newer batch has written them."""
     metrics = stored(gold_metrics(batch), "metrics")
     insert_only_merge(metrics, tables.metrics, ["as_of_timestamp"], keep_null_keys=False)
-    write_table(gold_leaders(batch), tables.leaders, "overwrite", partition_by=["market_cap_rank"], stamp=False)
+    spark.catalog.refreshTable(tables.metrics)
+    own = metrics.agg(F.max("as_of_timestamp")).first()[0]
+    newest = spark.read.table(tables.metrics).agg(F.max("as_of_timestamp")).first()[0]
+    if own is not None and own >= newest:
+        write_table(gold_leaders(batch), tables.leaders, "overwrite", partition_by=["market_cap_rank"], stamp=False)
 
 
 def check_health(
-    spark: SparkSession, tables: LayerTables, now: dt.datetime, name: str, limits: Thresholds
+    spark: SparkSession, tables: LayerTables, now: dt.datetime, name: str, limits: Thresholds, batch: DataFrame | None
 ) -> DataFrame:
+    """Alerts of all checks, each guarded by itself. ``batch`` is what the newest gold was computed from."""
     read = spark.read.table
-
-    def build() -> DataFrame:
-        return health_report(
-            read(tables.bronze), read(tables.silver), read(tables.metrics), read(tables.run_log), now, name, limits
-        )
-
-    alerts = guarded(spark, "health_report", build)
+    alerts = guarded_report(
+        spark,
+        lambda: read(tables.bronze),
+        lambda: read(tables.silver),
+        lambda: read(tables.metrics),
+        lambda: read(tables.run_log),
+        now,
+        name,
+        limits,
+        batch,
+    )
     write_table(alerts, tables.alerts, "overwrite", stamp=False)
     return alerts
 
@@ -153,23 +170,25 @@ def hourly_run(
     """Run all layers for one payload and log the run.
 
     An empty payload gives ``SKIPPED``. Any failure is logged as ``FAILED`` and raised. Running
-    the same ``run_id`` again replaces its bronze partition and adds nothing to silver and gold.
+    the same ``run_id`` again replaces its bronze and quarantine partitions and adds nothing to silver; a run
+    that is late or unlike the newest is still refined as itself.
     ``strict`` fails a run with error-level rows; otherwise they are only quarantined.
     """
     started = clock()
     now = now or started
     result = RunResult(run_id)
+    batch: DataFrame | None = None
     ensure_layers(spark, tables, location)
     try:
         ingest_bronze(payload, tables, result, now)
         if result.saved == 0:
             result.status = "SKIPPED"
         else:
-            refine_silver(spark, tables, now, strict)
-            aggregate_gold(spark, tables)
+            batch = refine_silver(spark, tables, run_id, now, strict)
+            aggregate_gold(spark, tables, batch)
             result.status = "SUCCESS"
     except Exception as problem:
-        result.error = str(problem)[:2000]
+        result.error = str(problem)
         log.error("run %s failed: %s", run_id, result.error)
         raise
     finally:
@@ -178,5 +197,5 @@ def hourly_run(
             processing_status=result.status, error=result.error, metadata=result.metadata,
         )
         append_run_log(record, tables.run_log)
-    check_health(spark, tables, now, name, limits)
+    check_health(spark, tables, now, name, limits, batch)
     return result

@@ -23,7 +23,6 @@ from marketstrata.showcase.standins import (
     table,
 )
 from marketstrata.sources import payloads
-from marketstrata.sources.synthetic import COINS, synthetic_market_rows
 from marketstrata.streaming.incremental import landed_snapshots, run_incremental_silver
 
 _FIELDS = [
@@ -139,44 +138,6 @@ def explode_sparkline(spark, sf_dir):
     return payloads.explode_sparkline(payloads.decode_sparkline(text, "body"))
 
 
-_SEED = 42
-
-
-def _draw(i: int) -> str:
-    digest = f"md5(CAST(event_id AS VARCHAR) || ':{_SEED}:{i // 4}')"
-    return f"CAST('0x' || substr({digest}, {8 * (i % 4) + 1}, 8) AS BIGINT)"
-
-
-def _uniform(i: int, low: float, high: float) -> str:
-    unit = f"CAST({_draw(i)} AS DOUBLE) / CAST(4294967296 AS DOUBLE)"
-    return f"(CAST({low!r} AS DOUBLE) + {unit} * CAST({high - low!r} AS DOUBLE))"
-
-
-def _pick(position: int) -> str:
-    names = ", ".join(f"'{coin[position]}'" for coin in COINS)
-    return f"([{names}])[{_draw(0)} % {len(COINS)} + 1]"
-
-
-@query(
-    "synthetic_market_rows",
-    f"""
-WITH drawn AS (
-  SELECT {_pick(0)} AS crypto_id, {_pick(1)} AS symbol, {_pick(2)} AS name,
-    {_uniform(1, 10.0, 50000.0)} AS price_usd, {_uniform(2, 1e6, 1e9)} AS supply,
-    {_uniform(3, 1e4, 1e7)} AS turnover, {_uniform(4, -0.1, 0.1)} AS price_change_24h, {_draw(5)} % 61 AS minutes
-  FROM events)
-SELECT crypto_id, symbol, name, price_usd, price_usd * supply AS market_cap, price_usd * turnover AS volume_24h,
-  price_change_24h, TIMESTAMP '2024-02-01' - to_minutes(CAST(minutes AS BIGINT)) AS last_updated,
-  TIMESTAMP '2024-02-01' AS ingestion_timestamp, 'run_1706745600' AS pipeline_run_id
-FROM drawn""",
-)
-def synthetic(spark, sf_dir):
-    """One made-up market row per event id."""
-    ids = table(spark, sf_dir, "events")
-    rows = synthetic_market_rows(ids, "event_id", moment("2024-02-01"), "run_1706745600", _SEED)
-    return plain(rows)
-
-
 @query(
     "incremental_silver",
     "WITH"
@@ -222,3 +183,25 @@ def hourly(spark, sf_dir):
     now = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
     hourly_run(spark, market_payload(spark, sf_dir), tables, "run_1706745600", now, clock=lambda: now)
     return plain(spark.read.table(tables.metrics), utc=True)
+
+
+_HOURLY_MARKET = MARKET.replace(
+    "SELECT 'c' || CAST(p_partkey AS VARCHAR) AS coin_id",
+    "SELECT CASE p_partkey WHEN 0 THEN 'bitcoin' WHEN 1 THEN 'ethereum' ELSE 'c' || CAST(p_partkey AS VARCHAR) END AS coin_id",
+)
+
+
+@query(
+    "hourly_two_runs",
+    _HOURLY_MARKET
+    + _metrics_sql("shared", "TIMESTAMP '2024-02-01'", "bitcoin", "ethereum")
+    + " UNION ALL "
+    + _metrics_sql("shared", "TIMESTAMP '2024-02-01 01:00:00'", "bitcoin", "ethereum"),
+)
+def hourly_two_runs(spark, sf_dir):
+    """Two runs whose coins are all unchanged, the later one ingested first, and one of them run twice."""
+    tables = LayerTables.under(scratch_schema(spark))
+    first = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
+    for run, now in (("r2", first + dt.timedelta(hours=1)), ("r1", first), ("r1", first)):
+        hourly_run(spark, market_payload(spark, sf_dir), tables, run, now, clock=lambda now=now: now)
+    return plain(spark.read.table(tables.metrics), utc=True)

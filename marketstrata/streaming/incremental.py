@@ -14,36 +14,23 @@ from marketstrata.contracts import MERGE_KEYS, PAYLOAD, SILVER
 from marketstrata.operators.conform import conform_bronze, silver_transform
 from marketstrata.operators.dedupe import dedupe_snapshot
 from marketstrata.operators.quality import split_rows
-from marketstrata.operators.tables import create_typed_table, insert_only_merge, overwrite_partitions
+from marketstrata.operators.tables import create_typed_table, insert_only_merge
 
 RUN = "pipeline_run_id"
 
 
-def landed_snapshots(spark: SparkSession, path: str, multi_line: bool = False, files: int | None = None) -> DataFrame:
+def landed_snapshots(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Stream of snapshots landed under ``path/pipeline_run_id=<run>/``.
 
     Arrival time is the file's own, so a replay reproduces it. Land a run's folder in one move:
-    market share is taken over the rows of a run that arrive together. ``files`` bounds how many
-    files one micro-batch reads; leave it unset where runs have several files.
+    market share is taken over the rows of a run that arrive together.
     """
     schema = T.StructType(PAYLOAD.fields + [T.StructField(RUN, T.StringType(), True)])
     reader = spark.readStream.schema(schema).option("multiLine", multi_line)
-    if files:
-        reader = reader.option("maxFilesPerTrigger", files)
     landed = reader.json(path)
     return landed.withColumn("ingestion_timestamp", F.col("_metadata.file_modification_time"))
 
 
-def first_versions(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Drop repeated ``(id, last_updated)`` seen within ``delay``; state is bounded by the watermark.
-
-    Optional in front of the merge, which is exact without it: it only saves work where a feed
-    repeats itself.
-    """
-    timed = stream.withColumn("_at", F.try_to_timestamp("last_updated")).withWatermark("_at", delay)
-    return timed.dropDuplicatesWithinWatermark(["id", "last_updated"]).drop("_at")
-
-
 def start_incremental_silver(
     landed: DataFrame,
     silver_table: str,
@@ -54,7 +41,8 @@ def start_incremental_silver(
     """Merge every landed snapshot into silver once per ``(coin_id, last_updated)``, then stop.
 
     Late rows are kept: the merge is keyed, not bounded by time. A micro-batch that is replayed
-    after a crash adds nothing: silver is keyed, and quarantined rows replace their own batch.
+    after a crash adds nothing: silver is keyed, and a quarantined row by a digest of all it holds, so
+    neither a replay nor a new checkpoint repeats or replaces one.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -66,8 +54,8 @@ def start_incremental_silver(
             create_typed_table(spark, silver_table, SILVER)
             versions = silver_transform(unique, now, batch=RUN)
             insert_only_merge(versions, silver_table, MERGE_KEYS, keep_null_keys=False)
-            numbered = bad.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            overwrite_partitions(numbered, quarantine_table, ["batch_id"])
+            held = F.to_json(F.struct(*bad.columns), {"ignoreNullFields": "false"})
+            insert_only_merge(bad.withColumn("reject_id", F.sha2(held, 256)), quarantine_table, ["reject_id"])
         finally:
             rows.unpersist()
 

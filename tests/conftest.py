@@ -37,9 +37,9 @@ def schema(spark):
 def coins(spark):
     """Payload rows: two good coins, the first one twice."""
     rows = [
-        ("bitcoin", "btc", "Bitcoin", 50000.0, 950e9, 30e9, 2.0, "2023-05-01T12:00:00.000Z"),
-        ("ethereum", "eth", "Ethereum", 3000.0, 50e9, 25e9, -1.0, "2023-05-01T12:00:00.000Z"),
-        ("bitcoin", "btc", "Bitcoin", 49000.0, 940e9, 29e9, 1.0, "2023-05-01T11:00:00.000Z"),
+        ("bitcoin", "btc", "Bitcoin", 40000.0, 760e9, 21e9, 2.5, "2024-02-01T12:00:00.000Z"),
+        ("ethereum", "eth", "Ethereum", 2000.0, 240e9, 17e9, -1.5, "2024-02-01T12:00:00.000Z"),
+        ("bitcoin", "btc", "Bitcoin", 39000.0, 741e9, 20e9, 0.5, "2024-02-01T11:00:00.000Z"),
     ]
     return spark.createDataFrame(
         rows,

@@ -28,7 +28,7 @@ def test_bronze_contract_has_thirty_columns_in_order(coins):
     assert shape(found.schema) == shape(BRONZE)
     assert len(found.columns) == 30
     row = found.filter("id = 'ethereum'").first()
-    assert (row["pipeline_run_id"], row["image"], row["market_cap"]) == ("r1", None, 50e9)
+    assert (row["pipeline_run_id"], row["image"], row["market_cap"]) == ("r1", None, 240e9)
 
 
 def test_conform_is_idempotent(coins):
@@ -59,9 +59,9 @@ def test_silver_transform(coins):
     assert shape(found.schema) == shape(SILVER)
     assert len(found.columns) == 28
     rows = {(r["coin_id"], r["current_price_usd"]): r for r in found.collect()}
-    eth = rows[("ethereum", 3000.0)]
+    eth = rows[("ethereum", 2000.0)]
     assert eth["ath_date"] is None
-    assert eth["market_dominance"] == pytest.approx(50e9 / 1940e9 * 100)
+    assert eth["market_dominance"] == pytest.approx(240e9 / 1741e9 * 100)
     assert found.agg(F.sum("market_dominance")).first()[0] == pytest.approx(100.0)
 
 

@@ -9,7 +9,7 @@ from tests.conftest import UTC
 
 def test_newest_version_survives(coins):
     found = {r["id"]: r for r in dedupe_snapshot(coins, ["id"], copies="copies").collect()}
-    assert found["bitcoin"]["current_price"] == 50000.0
+    assert found["bitcoin"]["current_price"] == 40000.0
     assert (found["bitcoin"]["copies"], found["ethereum"]["copies"]) == (2, 1)
     assert dedupe_snapshot(coins, ["id"]).columns == coins.columns
 

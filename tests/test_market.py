@@ -86,27 +86,32 @@ def test_top_performers_marks_only_shared_leaders(silver_rows):
         assert (row["top_gainer_24h"] is not None) == (coin in gainers)
 
 
-def test_batch_share_broadcast_and_salted_agree(spark, silver_rows):
+def test_batch_share_by_broadcast_and_by_shuffle_agree(spark, silver_rows):
     rows = silver_rows.withColumn("b", F.when(F.col("market_cap_usd") > 600, "x").when(F.col("market_cap_usd") > 90, "y"))
     totals = rows.groupBy("b").agg(F.count("*").alias("n"))
-    small = attach_by_key(rows, totals, ["b"])
-    salted = attach_by_key(rows, totals, ["b"], broadcast_rows=0)
-    assert "_salt" in salted._jdf.queryExecution().toString()
-    assert sorted(map(str, small.collect())) == sorted(map(str, salted.collect()))
-    assert small.filter("b is null").first()["n"] == 2
+    small = sorted(map(str, attach_by_key(rows, F.broadcast(totals), ["b"]).collect()))
+    merged = attach_by_key(rows, totals.hint("merge"), ["b"])
+    assert small == sorted(map(str, merged.collect()))
+    assert merged.filter("b is null").first()["n"] == 2
 
 
-def test_batch_share_sums_to_hundred(silver_rows, monkeypatch):
-    monkeypatch.setattr(shares, "BROADCAST_ROWS", 0)
+def test_batch_share_sums_to_hundred(silver_rows):
     rows = silver_rows.filter("market_cap_usd is not null").withColumn("b", F.col("market_cap_usd") > 500)
     sums = market_share(rows, batch="b").groupBy("b").agg(F.sum("market_dominance").alias("s")).collect()
     assert all(math.isclose(r["s"], 100.0) for r in sums)
 
 
+def test_nan_ranks_last(spark, silver_rows):
+    broken = silver_rows.withColumn("market_cap_usd", F.when(F.col("coin_id") == "k05", float("nan")).otherwise(F.col("market_cap_usd")))
+    assert leaders.top_by(broken, "market_cap_usd", 1).first()["coin_id"] == "k00"
+    ranks = {r["coin_id"]: r["rank"] for r in leaders.top_by_market_cap(broken, 13).collect()}
+    assert ranks["k00"] == 1 and ranks["k05"] == ranks["k12"] == 12
+
+
 def test_price_stats(coins):
     row = metrics.price_stats(coins).first()
-    assert (row["total_records"], row["unique_coins"], row["min_price"], row["max_price"]) == (3, 2, 3000.0, 50000.0)
-    assert row["avg_price"] == 34000.0
+    assert (row["total_records"], row["unique_coins"], row["min_price"], row["max_price"]) == (3, 2, 2000.0, 40000.0)
+    assert row["avg_price"] == 27000.0
     assert metrics.price_stats(coins, approximate=True).first()["unique_coins"] == 2
 
 

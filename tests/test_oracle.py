@@ -7,7 +7,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import FLAGSHIP_DIR, entry, oracle_sql, queries
+from __spark_entry__ import FLAGSHIP_DIR, entry
+from marketstrata.showcase import ORACLE, QUERIES
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -41,13 +42,13 @@ def _rows(frame):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, duck, name):
-    found = _rows(queries()[name](spark, FLAGSHIP_DIR).toPandas())
-    assert found == _rows(duck.sql(oracle_sql()[name]).df())
+    found = _rows(QUERIES[name](spark, FLAGSHIP_DIR).toPandas())
+    assert found == _rows(duck.sql(ORACLE[name]).df())
     assert found[1] or name in ("run_duration_check", "cap_reconciliation")
 
 

@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from marketstrata.contracts import PAYLOAD, SPARKLINE
 from marketstrata.sources import payloads
-from marketstrata.sources.synthetic import synthetic_market, synthetic_market_rows
 from tests.conftest import UTC
 
 COINS = [
-    {"id": "bitcoin", "symbol": "btc", "name": "Bitcoin", "current_price": 50000.0, "market_cap": 950000000000,
+    {"id": "alpha", "symbol": "alp", "name": "Alpha", "current_price": 12.5, "market_cap": 7400,
      "market_cap_rank": 1, "roi": None, "unknown": 1},
-    {"id": "ethereum", "symbol": "eth", "name": "Ethereum", "current_price": 3000, "market_cap": 360000000000,
-     "market_cap_rank": 2, "roi": {"times": 2.5}, "unknown": 2},
+    {"id": "beta", "symbol": "bet", "name": "Beta", "current_price": 4, "market_cap": 2600,
+     "market_cap_rank": 2, "roi": {"times": 1.75}, "unknown": 2},
 ]
 
 
@@ -30,10 +29,10 @@ def landing():
 
 def test_scan_lists_and_single_objects(spark, landing):
     found = {r["id"]: r for r in payloads.scan_market_payload(spark, landing).collect()}
-    assert set(found) == {"bitcoin", "ethereum", "solo"}
-    assert (found["ethereum"]["current_price"], found["ethereum"]["market_cap"]) == (3000.0, 360e9)
-    assert json.loads(found["ethereum"]["roi"]) == {"times": 2.5}
-    assert found["bitcoin"]["roi"] is None
+    assert set(found) == {"alpha", "beta", "solo"}
+    assert (found["beta"]["current_price"], found["beta"]["market_cap"]) == (4.0, 2600.0)
+    assert json.loads(found["beta"]["roi"]) == {"times": 1.75}
+    assert found["alpha"]["roi"] is None
 
 
 def test_unreadable_documents_are_kept_aside(spark, landing):
@@ -93,7 +92,7 @@ def test_narrow_snapshot(spark):
 
 
 DAY = 86_400_000
-START = 1638316800000
+START = 1706745600000
 
 
 def _charts(spark):
@@ -101,13 +100,13 @@ def _charts(spark):
         times = [START, START + DAY, START + DAY + 3_600_000]
         return json.dumps(
             {
-                "prices": [[t, 50000 + i] for i, t in enumerate(times)],
-                "market_caps": [[t + shift, 950e9 + i] for i, t in enumerate(times)],
-                "total_volumes": [[t, 30e9 + i] for i, t in enumerate(times)],
+                "prices": [[t, 640 + i] for i, t in enumerate(times)],
+                "market_caps": [[t + shift, 81e6 + i] for i, t in enumerate(times)],
+                "total_volumes": [[t, 5e6 + i] for i, t in enumerate(times)],
             }
         )
 
-    rows = [("bitcoin", chart()), ("shifted", chart(1)), ("broken", "{"), ("short", '{"prices": [[1, 2]]}')]
+    rows = [("alpha", chart()), ("shifted", chart(1)), ("broken", "{"), ("short", '{"prices": [[1, 2]]}')]
     return payloads.decode_chart(spark.createDataFrame(rows, "coin_id string, body string"), "body")
 
 
@@ -115,9 +114,9 @@ def test_chart_points_and_rejects(spark):
     charts = _charts(spark)
     points = payloads.explode_market_chart(charts).orderBy("ts").collect()
     assert [(p["coin_id"], p["price"], p["market_cap"]) for p in points] == [
-        ("bitcoin", 50000.0 + i, 950e9 + i) for i in range(3)
+        ("alpha", 640.0 + i, 81e6 + i) for i in range(3)
     ]
-    assert points[0]["ts"] == dt.datetime(2021, 12, 1)
+    assert points[0]["ts"] == dt.datetime(2024, 2, 1)
     good, rejected = payloads.split_charts(charts)
     assert good.count() == 1
     assert sorted(r["coin_id"] for r in rejected.collect()) == ["broken", "shifted", "short"]
@@ -137,8 +136,8 @@ def test_malformed_points_are_rejected_or_null(spark):
 def test_chart_days_and_daily(spark):
     charts = _charts(spark)
     daily = payloads.explode_market_chart(charts, interval="daily").orderBy("ts").collect()
-    assert [(p["ts"].day, p["price"]) for p in daily] == [(1, 50000.0), (2, 50002.0)]
-    as_of = dt.datetime(2021, 12, 2, 12, tzinfo=UTC)
+    assert [(p["ts"].day, p["price"]) for p in daily] == [(1, 640.0), (2, 642.0)]
+    as_of = dt.datetime(2024, 2, 2, 12, tzinfo=UTC)
     assert payloads.explode_market_chart(charts, days=1, as_of=as_of).count() == 2
     assert payloads.explode_market_chart(charts, days="max").count() == 3
     with pytest.raises(ValueError):
@@ -148,26 +147,8 @@ def test_chart_days_and_daily(spark):
 
 
 def test_sparkline(spark):
-    body = '{"id": "bitcoin", "symbol": "btc", "sparkline_in_7d": {"price": [48000, 49000, 50000]}}'
+    body = '{"id": "alpha", "symbol": "alp", "sparkline_in_7d": {"price": [7, 9, 8.5]}}'
     rows = payloads.decode_sparkline(spark.createDataFrame([(body,)], "body string"), "body")
     assert rows.columns == SPARKLINE.names
     found = payloads.explode_sparkline(rows).collect()
-    assert [(r["position"], r["price"]) for r in found] == [(0, 48000.0), (1, 49000.0), (2, 50000.0)]
-
-
-def test_synthetic_rows_do_not_depend_on_partitioning(spark):
-    now = dt.datetime(2024, 1, 1, tzinfo=UTC)
-    one = synthetic_market(spark, 1000, now, "r", seed=1)
-    other = synthetic_market_rows(spark.range(1000).repartition(7), "id", now, "r", seed=1)
-    assert one.exceptAll(other).count() == 0
-    assert one.exceptAll(synthetic_market(spark, 1000, now, "r", seed=2)).count() > 900
-    bounds = one.selectExpr(
-        "min(price_usd) a", "max(price_usd) b", "min(market_cap / price_usd) c", "max(market_cap / price_usd) d",
-        "min(price_change_24h) e", "max(price_change_24h) f", "count(distinct crypto_id) g", "min(last_updated) h",
-        "avg(price_usd) i",
-    ).first()
-    assert 10 <= bounds["a"] < 1000 and 49_000 < bounds["b"] <= 50_000
-    assert 1e6 <= bounds["c"] and bounds["d"] <= 1e9 * 1.0001
-    assert -0.1 <= bounds["e"] < -0.09 and 0.09 < bounds["f"] <= 0.1
-    assert bounds["g"] == 5 and bounds["h"] >= dt.datetime(2023, 12, 31, 23)
-    assert 22_000 < bounds["i"] < 28_000
+    assert [(r["position"], r["price"]) for r in found] == [(0, 7.0), (1, 9.0), (2, 8.5)]

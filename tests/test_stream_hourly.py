@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from marketstrata.contracts import SILVER
 from marketstrata.plans.hourly import LayerTables, hourly_run
 from marketstrata.session import fresh_path
-from marketstrata.streaming.incremental import first_versions, landed_snapshots, run_incremental_silver
+from marketstrata.streaming.incremental import landed_snapshots, run_incremental_silver
 from tests.conftest import UTC, shape
 
-NOW = dt.datetime(2023, 5, 1, 12, 30, tzinfo=UTC)
+NOW = dt.datetime(2024, 2, 1, 12, 30, tzinfo=UTC)
 
 
 def _land(folder, run, coins):
@@ -26,7 +26,7 @@ def _coin(name, cap, updated, **more):
     return {"id": name, "symbol": name[:3], "name": name, "current_price": 1.0, "market_cap": cap, "last_updated": updated, **more}
 
 
-T1, T2 = "2023-05-01T12:00:00.000Z", "2023-05-01T13:00:00.000Z"
+T1, T2 = "2024-02-01T12:00:00.000Z", "2024-02-01T13:00:00.000Z"
 
 
 def test_incremental_silver_is_exactly_once(spark, schema):
@@ -54,17 +54,10 @@ def test_incremental_silver_is_exactly_once(spark, schema):
     bad = spark.read.table(quarantine)
     assert [r["broken_rules"] for r in bad.collect()] == [["last_updated:is_valid_timestamp"]]
 
-
-def test_first_versions_drops_repeats(spark):
-    folder = tempfile.mkdtemp(prefix="landing-")
-    _land(folder, "r1", [_coin("a", 1.0, T1), _coin("a", 2.0, T1), _coin("a", 2.0, T2)])
-    stream = first_versions(landed_snapshots(spark, folder)).select("id", "last_updated")
-    query = (
-        stream.writeStream.format("memory").queryName("first_versions").trigger(availableNow=True)
-        .option("checkpointLocation", fresh_path(spark, "progress")).start()
-    )
-    query.awaitTermination()
-    assert sorted(r["last_updated"] for r in spark.table("first_versions").collect()) == [T1, T2]
+    # Rejects of another checkpoint stand beside the earlier ones.
+    _land(folder, "r3", [_coin("worse", 5.0, "later")])
+    advance(fresh_path(spark, "progress"))
+    assert sorted(r["id"] for r in spark.read.table(quarantine).collect()) == ["broken", "worse"]
 
 
 def _run(spark, coins, schema, run="r1", now=NOW, **options):
@@ -84,8 +77,8 @@ def test_hourly_run_and_rerun(spark, schema, coins):
         assert read(tables.leaders).count() == 2
     metrics = read(tables.metrics).first()
     assert (metrics["total_coins"], float(metrics["total_market_cap_usd"])) == (2, 1e12)
-    assert (float(metrics["dominance_btc"]), float(metrics["dominance_eth"])) == (95.0, 5.0)
-    assert float(metrics["market_cap_weighted_24h_return"]) == pytest.approx(2.0 * 0.95 - 0.05)
+    assert (float(metrics["dominance_btc"]), float(metrics["dominance_eth"])) == (76.0, 24.0)
+    assert float(metrics["market_cap_weighted_24h_return"]) == pytest.approx(2.5 * 0.76 - 1.5 * 0.24)
     assert read(tables.run_log).count() == 2
     alerts = {r["check"] for r in read(tables.alerts).collect()}
     assert alerts == {"row_count"}
@@ -94,14 +87,51 @@ def test_hourly_run_and_rerun(spark, schema, coins):
 def test_second_hour_adds_only_new_versions(spark, schema, coins):
     _run(spark, coins, schema)
     later = coins.withColumn(
-        "last_updated", F.when(F.col("id") == "bitcoin", "2023-05-01T13:00:00.000Z").otherwise(F.col("last_updated"))
+        "last_updated", F.when(F.col("id") == "bitcoin", "2024-02-01T13:00:00.000Z").otherwise(F.col("last_updated"))
     )
     tables, _ = _run(spark, later, schema, "r2", NOW + dt.timedelta(hours=1))
     read = spark.read.table
     assert read(tables.bronze).count() == 4
     assert read(tables.silver).count() == 3
     assert read(tables.metrics).count() == 2
-    assert [r["coin_id"] for r in read(tables.leaders).collect()] == ["bitcoin"]
+    # Gold covers the whole market of the hour, also the coin whose version is already stored.
+    assert {r["coin_id"] for r in read(tables.leaders).collect()} == {"bitcoin", "ethereum"}
+    second = read(tables.metrics).orderBy("as_of_timestamp").collect()[1]
+    assert (second["total_coins"], float(second["dominance_eth"])) == (2, 24.0)
+    assert read(tables.alerts).filter("check = 'cap_reconciliation'").count() == 0
+
+
+def test_late_run_is_refined_as_itself(spark, schema, coins):
+    _run(spark, coins, schema, "r2", NOW + dt.timedelta(hours=1))
+    early = coins.withColumn("last_updated", F.lit("2024-02-01T09:00:00.000Z")).withColumn("market_cap", F.col("market_cap") / 2)
+    tables, result = _run(spark, early, schema, "r1", NOW)
+    read = spark.read.table
+    assert result.status == "SUCCESS" and read(tables.silver).count() == 4
+    assert read(tables.metrics).count() == 2
+    # Leaders stay those of the newer batch.
+    assert float(read(tables.leaders).agg(F.max("market_cap_usd")).first()[0]) == 760e9
+
+
+def test_rerun_of_a_mended_run_empties_its_quarantine(spark, schema, coins):
+    bad = coins.withColumn("name", F.when(F.col("id") == "ethereum", None).otherwise(F.col("name")))
+    tables, _ = _run(spark, bad, schema, "r1", strict=False)
+    assert spark.read.table(tables.quarantine).count() == 1
+    _run(spark, coins, schema, "r1", strict=False)
+    assert spark.read.table(tables.quarantine).count() == 0
+    assert spark.read.table(tables.silver).count() == 2
+
+
+def test_one_broken_check_leaves_the_others(spark, schema, coins):
+    from marketstrata.operators.monitor import guarded_report
+
+    tables, _ = _run(spark, coins.filter("false"), schema)
+    read = spark.read.table
+    found = guarded_report(
+        spark, lambda: read(f"{schema}.absent"), lambda: read(tables.silver), lambda: read(tables.metrics),
+        lambda: read(tables.run_log), NOW,
+    ).collect()
+    assert {"bronze", "layer_retention"} <= {r["check"] for r in found if r["level"] == "ERROR"}
+    assert any(r["subject"] == "silver" for r in found if r["check"] not in ("bronze", "layer_retention"))
 
 
 def test_empty_payload_is_skipped(spark, schema, coins):
