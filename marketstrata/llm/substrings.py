@@ -17,6 +17,8 @@ from marketstrata.session import stored
 
 WINDOW = 50
 ANCHOR = 12
+#: Windows of a piece at most: as many as one stretch can anchor, unless a text repeats itself.
+RUN = WINDOW - ANCHOR + 1
 SHARD_PIECES = 6000
 HOT_TEXTS = 1500
 
@@ -116,8 +118,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if alone:
                         at = np.arange(s, s + n)
                         keys = span_hashes(words[base[t] : base[t + 1]], at, at + WINDOW).view(np.int64).tolist()
-                    for k in range(n) if alone else (0,):
-                        stop = s + k + WINDOW - 1 if alone else s + n + WINDOW - 2
+                    for k in range(0, n, 1 if alone else RUN):
+                        stop = s + k + WINDOW - 1 if alone else s + min(k + RUN, n) + WINDOW - 2
                         rows[0].append(t + a)
                         rows[1].append(s + k)
                         rows[2].append(keys[k] if alone else int(anchor[r].astype(np.int64)))
@@ -176,7 +178,8 @@ def remove_repeated(documents: DataFrame, text: str = "text", id_column: str = "
     A window of ``WINDOW`` words that also starts in a document with a smaller id loses its words. All texts
     are judged as they came. Exact copies collapse to their least id: a later copy loses every word that any
     window covers. Of the other texts only windows whose anchor another text also has are looked at; they are
-    cut into pieces, dealt to shards by anchor, and each shard is one FM-index over its distinct pieces. An
+    cut into pieces of bounded length, however long a text repeats itself, dealt to shards by anchor, and each
+    shard is one FM-index over its distinct pieces. An
     anchor that very many texts have is dealt window by window instead, so that no shard depends on it.
 
     A row with a NULL id keeps its words and takes none from others; NULL and empty texts have no word; texts

@@ -100,6 +100,8 @@ def test_trie_pairs_are_all_pairs(alone):
 def test_substrings_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(substrings, "HOT_TEXTS", 2)
     rows = ROWS + [(30, words(80, 5)), (29, words(80, 5) + " " + words(60, 6)), (31, words(60, 6) + " x " + BASE)]
+    # Texts that repeat themselves: one anchor for hundreds of windows.
+    rows += [(40, "a b c " * 300), (41, "b c " + "a b c " * 250 + words(60, 6)), (42, "same " * 500 + BASE)]
     got = substrings.remove_repeated(docs(spark, rows)).collect()
     split = [(i, [w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w]) for i, t in rows]
     first: dict[tuple, int] = {}
