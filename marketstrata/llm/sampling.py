@@ -19,11 +19,17 @@ def sampled_texts(documents: DataFrame, labels: DataFrame, per_class: int, piece
 
     ``documents`` has ``id, text``, ``labels`` has ``id, label``. The choice goes by a hash of the id, over the
     labels alone; the ids, bounded by the parameters, are then broadcast to the texts, which are not shuffled.
+    A large class is first cut by its size to about twice its share of the sample, so that only those rows are
+    ranked in one task.
     Of a text at most ``pieces`` stretches of ``width`` words, evenly spread over all of it, are returned.
     """
     named = labels.filter("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.max("label").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id", F.lit(5)), "id")
-    chosen = named.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class).drop("n")
+    named = named.withColumn("key", F.xxhash64("id", F.lit(5)))
+    sizes = named.groupBy("label").agg(F.count("*").alias("size"))
+    place = F.col("key") / F.lit(2.0**64) + 0.5  # 0 to 1 in the order of the keys
+    near = named.join(sizes, "label").filter(place * F.col("size") <= 2 * per_class + 100)
+    order = Window.partitionBy("label").orderBy("key", "id")
+    chosen = near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class).select("id", "label")
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
