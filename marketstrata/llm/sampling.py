@@ -27,7 +27,8 @@ def sampled_texts(documents: DataFrame, labels: DataFrame, per_class: int, piece
     named = named.withColumn("key", F.xxhash64("id", F.lit(5)))
     sizes = named.groupBy("label").agg(F.count("*").alias("size"))
     place = F.col("key") / F.lit(2.0**64) + 0.5  # 0 to 1 in the order of the keys
-    near = named.join(sizes, "label").filter(place * F.col("size") <= 2 * per_class + 100)
+    # A row a class, as many as the model itself holds; without the hint rows would be dealt by class first.
+    near = named.join(F.broadcast(sizes), "label").filter(place * F.col("size") <= 2 * per_class + 100)
     order = Window.partitionBy("label").orderBy("key", "id")
     chosen = near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class).select("id", "label")
 
