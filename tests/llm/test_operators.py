@@ -282,6 +282,21 @@ def test_leaks_verbatim_and_paraphrased(spark):
     assert kept.count() == len(rows) - 4 and kept.columns == frame.columns
 
 
+def test_every_copy_is_found_however_large_the_benchmark(spark):
+    rng = np.random.default_rng(8)
+    passage = lambda n: " ".join(f"v{x}" for x in rng.zipf(1.3, n) % 3000)
+    sizes = rng.integers(20, 60, 3000)
+    rows = [(k, passage(30) + " " + passage(200 + int(n))) for k, n in enumerate(sizes)]
+    items = [(k, " ".join(text.split()[40 : 40 + n])) for (k, text), n in zip(rows, sizes.tolist(), strict=True)]
+    # Reworded items: every sixth word is another one.
+    rows += [(10_000 + k, passage(50) + " " + " ".join("z" if j % 6 == 3 else w for j, w in enumerate(items[k][1].split())) + " " + passage(50)) for k in range(200)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    finder = decontaminate.fit_leak_finder(docs(spark, rows), bench)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.benchmark_leaks(docs(spark, rows).repartition(8), finder, "bigint").collect()}
+    assert {(k, k) for k in range(3000)} <= got
+    assert sum((10_000 + k, k) in got for k in range(200)) >= 196
+
+
 def test_packing_is_an_exact_cover(spark):
     from tokenizers import Tokenizer
 
