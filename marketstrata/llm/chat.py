@@ -90,7 +90,7 @@ def format_chat(
 ) -> DataFrame:
     """One row a message: its place, its canonical JSON, and what is known of its calls or its result.
 
-    A message whose text is a JSON object may carry ``tool_calls`` (role assistant), ``tools`` (role system) or
+    A message whose text is a JSON object, with or without white space around it, may carry ``tool_calls`` (role assistant), ``tools`` (role system) or
     ``tool_call_id`` (role tool); any other text, duplicate keys included, is plain content. Results meet the
     calls of their conversation by identifier in a hash join; of calls with one identifier the first by turn
     counts. ``order_turn, order_step`` order a conversation topologically: a message keeps its turn, a result
@@ -106,7 +106,7 @@ def format_chat(
         F.col(conv).alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")
     )
     parsed = F.try_parse_json("text")
-    rows = rows.withColumn("body", F.when(F.col("text").startswith("{") & (F.schema_of_variant(parsed).startswith("OBJECT")), parsed))
+    rows = rows.withColumn("body", F.when(F.ltrim(F.col("text"), F.lit(" \t\n\r")).startswith("{") & (F.schema_of_variant(parsed).startswith("OBJECT")), parsed))
     rows = rows.withColumn(
         "calls",
         F.when(

@@ -246,6 +246,18 @@ def test_chat_links_orders_and_validates(spark):
     assert by[None, None].message == "{}"
 
 
+def test_chat_reads_objects_after_white_space(spark):
+    call = {"content": "x", "tool_calls": [{"id": "c1", "name": "f", "arguments": {}}]}
+    rows = [
+        (1, 0, "assistant", "\r\n\t " + json.dumps(call)),
+        (1, 1, "tool", "\n" + json.dumps({"tool_call_id": "c1", "content": "y"}) + "\n"),
+        (1, 2, "user", " [1]"),
+    ]
+    by = {r.turn: r for r in chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert by[0].n_calls == 1 and by[1].link == "linked"
+    assert json.loads(by[2].message)["content"] == " [1]"
+
+
 def test_language_learns_and_marks_texts_without_letters(spark):
     rng = np.random.default_rng(5)
     make = lambda stems, n: " ".join(rng.choice(stems, n))
