@@ -76,16 +76,24 @@ def text_or_empty(column: str = "text"):
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Values hashed at a time, and powers kept: fixed, so that a worker's memory does not follow its longest text.
+HASH_BLOCK = 1 << 18
 _powers: dict[str, np.ndarray] = {}
 
 
 def _power(base: np.uint64, n: int) -> np.ndarray:
-    """``base`` to the powers 0 to n, modulo 2**64; the longest table so far is kept."""
+    """``base`` to the powers 0 to n, modulo 2**64. A table of fixed size is kept; a longer one is made for the call."""
     held = _powers.get(str(base))
     if held is None or len(held) <= n:
-        held = np.full(max(n + 1, 1 << 16), base, np.uint64)
-        held[0] = 1
-        held = _powers[str(base)] = np.multiply.accumulate(held)
+        size = max(n + 1, HASH_BLOCK + (1 << 12))
+        made = np.full(size, base, np.uint64)
+        made[0] = 1
+        made = np.multiply.accumulate(made)
+        if held is not None:
+            return made
+        held = _powers[str(base)] = made[: HASH_BLOCK + (1 << 12)].copy()
+        if len(held) <= n:
+            return made
     return held
 
 
@@ -97,8 +105,22 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each span of ``values``, from differences of one running sum; equal spans have equal hashes."""
-    n = len(values)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _power(_BASE, n)[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _power(_UNBASE, n)[starts])
+    """A hash of each span of ``values``, from differences of running sums; equal spans have equal hashes.
+
+    Spans are taken in blocks by their starts, each with a running sum of its own. ``starts`` must not fall.
+    """
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        base = int(starts[first])
+        last = int(np.searchsorted(starts, base + HASH_BLOCK))
+        stop = max(int(ends[first:last].max()), base)
+        sums = np.zeros(stop - base + 1, np.uint64)
+        block = values[base:stop].astype(np.uint64)
+        block += np.uint64(1)
+        block *= _power(_BASE, stop - base)[: stop - base]
+        np.cumsum(block, out=sums[1:])
+        a, b = starts[first:last] - base, ends[first:last] - base
+        out[first:last] = (sums[b] - sums[a]) * _power(_UNBASE, stop - base)[a]
+        first = last
+    return mix(out)
