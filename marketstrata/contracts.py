@@ -22,6 +22,11 @@ _TYPES: dict[str, T.DataType] = {
     "decimal(38,2)": T.DecimalType(38, 2),
     "decimal(38,10)": T.DecimalType(38, 10),
     "decimal(10,4)": T.DecimalType(10, 4),
+    "date": T.DateType(),
+    "binary": T.BinaryType(),
+    "array<string>": T.ArrayType(T.StringType()),
+    "array<date>": T.ArrayType(T.DateType()),
+    "map<string,bigint>": T.MapType(T.StringType(), T.LongType()),
 }
 
 
@@ -159,19 +164,6 @@ _ALERT_FIELDS = [
     ("message", "string"),
 ]
 
-_SYNTHETIC_FIELDS = [
-    ("crypto_id", "string"),
-    ("symbol", "string"),
-    ("name", "string"),
-    ("price_usd", "double"),
-    ("market_cap", "double"),
-    ("volume_24h", "double"),
-    ("price_change_24h", "double"),
-    ("last_updated", "timestamp"),
-    ("ingestion_timestamp", "timestamp"),
-    ("pipeline_run_id", "string"),
-]
-
 _CHART_FIELDS = [
     ("coin_id", "string"),
     ("prices", "array<array<double>>"),
@@ -203,10 +195,61 @@ METRICS = struct_of(_METRIC_FIELDS)
 LEADERS = struct_of(_LEADER_FIELDS)
 RUN_LOG = struct_of(_RUN_LOG_FIELDS)
 ALERTS = struct_of(_ALERT_FIELDS)
-SYNTHETIC = struct_of(_SYNTHETIC_FIELDS)
 CHART = struct_of(_CHART_FIELDS)
 SPARKLINE = T.StructType(
     PAYLOAD.fields + [T.StructField("sparkline_in_7d", struct_of([("price", "array<double>")]), True)]
 )
 
 MERGE_KEYS = ["coin_id", "last_updated"]
+
+# What the layers store beside their contracts: the rules a row broke before it was typed, the month of a version,
+# the run a gold row was computed for.
+VERSION_MONTH = "version_month"
+BRONZE_TABLE = T.StructType(BRONZE.fields + struct_of([("broken_rules", "array<string>")]).fields)
+SILVER_TABLE = T.StructType(SILVER.fields + struct_of([(VERSION_MONTH, "date")]).fields)
+METRICS_TABLE = T.StructType(METRICS.fields + struct_of([("pipeline_run_id", "string")]).fields)
+
+# One row a run and rule: how many rows of the run broke it.
+VALIDATION = struct_of(
+    [
+        ("pipeline_run_id", "string"),
+        ("column", "string"),
+        ("rule", "string"),
+        ("severity", "string"),
+        ("total_records", "bigint"),
+        ("invalid_records", "bigint"),
+    ]
+)
+
+# One row a layer, run and attempt: figures that add up over runs.
+FIGURES = struct_of(
+    [
+        ("layer", "string"),
+        ("pipeline_run_id", "string"),
+        ("recorded_at", "timestamp"),
+        ("row_count", "bigint"),
+        ("first_record", "timestamp"),
+        ("last_record", "timestamp"),
+        ("coins", "binary"),
+        ("price_sum", "decimal(38,10)"),
+        ("price_count", "bigint"),
+        ("cap_sum", "decimal(38,2)"),
+        ("cap_count", "bigint"),
+        ("nulls", "map<string,bigint>"),
+        ("days", "array<date>"),
+    ]
+)
+
+# Statistics of a layer, as the health report stores them.
+STATISTICS = struct_of(
+    [
+        ("layer", "string"),
+        ("row_count", "bigint"),
+        ("first_record", "timestamp"),
+        ("last_record", "timestamp"),
+        ("unique_coins", "bigint"),
+        ("avg_price", "double"),
+        ("total_market_cap", "double"),
+        ("avg_market_cap", "double"),
+    ]
+)

@@ -14,13 +14,16 @@ PERCENT = "decimal(16,8)"
 
 
 def exact_sum(value: str, kind: str = MONEY) -> str:
-    """Decimal sum of a double; NULLs are skipped, all-NULL gives NULL."""
-    return f"sum(cast({value} as {kind}))"
+    """Decimal sum of a double; NULLs and values the decimal cannot hold are skipped, without any it is NULL.
+
+    A rule of ``quality.FIT_RULES`` counts the values that are skipped.
+    """
+    return f"sum(try_cast({value} as {kind}))"
 
 
 def exact_avg(value: str, kind: str = PERCENT) -> str:
-    """Average as decimal sum over count of non-NULLs; no rows gives NULL."""
-    return f"try_divide(cast({exact_sum(value, kind)} as double), count({value}))"
+    """Average as decimal sum over count of what is summed; no rows gives NULL."""
+    return f"try_divide(cast({exact_sum(value, kind)} as double), count(try_cast({value} as {kind})))"
 
 
 def percent_of(part: str, whole: str) -> str:

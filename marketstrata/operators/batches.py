@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 from marketstrata.contracts import ARRIVAL_COLUMNS
 
 
-def latest_run(df: DataFrame, run: str = "pipeline_run_id", arrival: list[str] | None = None) -> DataFrame:
+def latest_run(
+    df: DataFrame, run: str = "pipeline_run_id", arrival: list[str] | None = None, registry: DataFrame | None = None
+) -> DataFrame:
     """Rows of the run that arrived last; equal arrival goes to the greatest run id.
 
     The run id is a scalar subquery, evaluated before the scan, so a table partitioned by run
-    reads one partition. Without any arrival column the greatest run id is taken.
+    reads one partition. Without any arrival column the greatest run id is taken. ``registry`` has one row a
+    recorded run with its ``last_record``; then the run is looked up there and no other run's rows are read.
     """
+    if registry is not None:
+        seen = F.when(F.col("last_record").isNotNull(), F.struct(F.col("last_record").alias("at"), F.col(run).alias("run")))
+        return df.filter(F.col(run) == registry.agg(F.max(seen).getField("run")).scalar())
     when = next((c for c in arrival or ARRIVAL_COLUMNS if c in df.columns), None)
     if when is None:
         newest = df.agg(F.max(run))
@@ -24,8 +30,10 @@ def latest_run(df: DataFrame, run: str = "pipeline_run_id", arrival: list[str] |
     return df.filter(F.col(run) == newest.scalar())
 
 
-def latest_batch(df: DataFrame, time: str = "silver_ingestion_time") -> DataFrame:
-    """Rows carrying the greatest ``time``."""
+def latest_batch(df: DataFrame, time: str = "silver_ingestion_time", registry: DataFrame | None = None) -> DataFrame:
+    """Rows carrying the greatest ``time``; with a ``registry`` of ``last_record`` it is looked up there."""
+    if registry is not None:
+        return df.filter(F.col(time) == registry.agg(F.max("last_record")).scalar())
     return df.filter(F.col(time) == df.agg(F.max(time)).scalar())
 
 

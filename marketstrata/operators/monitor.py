@@ -42,7 +42,7 @@ class Layer:
     """How to read the health of one layer from its table."""
 
     name: str
-    rows: DataFrame
+    rows: DataFrame | None
     time: str
     coin: str | None = None
     price: str | None = None
@@ -51,11 +51,11 @@ class Layer:
     nulls: tuple[str, ...] = ()
 
 
-def bronze_layer(rows: DataFrame) -> Layer:
+def bronze_layer(rows: DataFrame | None) -> Layer:
     return Layer("bronze", rows, "ingestion_timestamp", coin="id")
 
 
-def silver_layer(rows: DataFrame) -> Layer:
+def silver_layer(rows: DataFrame | None) -> Layer:
     return Layer(
         "silver",
         rows,
@@ -67,7 +67,7 @@ def silver_layer(rows: DataFrame) -> Layer:
     )
 
 
-def gold_layer(rows: DataFrame) -> Layer:
+def gold_layer(rows: DataFrame | None) -> Layer:
     return Layer(
         "gold", rows, "as_of_timestamp", average_cap="total_market_cap_usd", nulls=("total_market_cap_usd",)
     )
@@ -122,7 +122,10 @@ def _figures(layers: Sequence[Layer], only: set[str]) -> DataFrame:
 
 def _wide(layers: Sequence[Layer], only: set[str]) -> DataFrame:
     """Figures of all layers in one row, one struct column per layer."""
-    figures = _figures(layers, only)
+    return _in_one_row(_figures(layers, only), layers)
+
+
+def _in_one_row(figures: DataFrame, layers: Sequence[Layer]) -> DataFrame:
     rest = ", ".join(c for c in figures.columns if c != "layer")
     picked = [
         F.expr(f"max_by(struct({rest}), case when layer = {text_literal(la.name)} then 1 end) as {quoted(la.name)}")
@@ -157,8 +160,8 @@ def _freshness(layer: Layer, limits: Thresholds) -> list[str]:
     limit = f"{limits.max_age_hours * 3600!r}d"
     level = f"case when {last} is null then 'ERROR' when {age} > {limit} then 'WARNING' end"
     text = (
-        f"case when {last} is null then 'no data found in {layer.name}' "
-        f"else concat('{layer.name} data is ', {age}, ' seconds old') end"
+        f"case when {last} is null then '{layer.name} holds no rows' "
+        f"else concat('newest row of {layer.name} came ', {age}, ' seconds ago') end"
     )
     return [_alert(level, "freshness", text_literal(layer.name), age, limit, text)]
 
@@ -167,7 +170,7 @@ def _row_count(layer: Layer, limits: Thresholds) -> list[str]:
     floor = str(limits.min_rows.get(layer.name, 1))
     rows = f"{quoted(layer.name)}.row_count"
     level = f"case when {rows} < {floor} then 'WARNING' end"
-    text = f"concat('low row count in {layer.name}: ', {rows})"
+    text = f"concat('{layer.name} has only ', {rows}, ' rows')"
     return [_alert(level, "row_count", text_literal(layer.name), rows, floor, text)]
 
 
@@ -177,7 +180,7 @@ def _nulls(layer: Layer, limits: Thresholds) -> list[str]:
         subject = f"{layer.name}.{name}"
         percent = f"{quoted(layer.name)}.nulls[{i}].percent"
         level = f"case when {percent} > {limit} then 'WARNING' end"
-        text = f"format_string('high NULL percentage in {subject}: %.2f%%', {percent})"
+        text = f"format_string('%.2f%% of {subject} are NULL', {percent})"
         found.append(_alert(level, "nulls", text_literal(subject), percent, limit, text))
     return found
 
@@ -236,6 +239,28 @@ def cap_reconciliation(
     return _alerts(compared, [_alert(level, "cap_reconciliation", "'gold/silver'", "difference", limit, text)])
 
 
+def batch_reconciliation(
+    computed: DataFrame, reported: DataFrame, key: str, total: str = "total", limits: Thresholds = DEFAULTS
+) -> DataFrame:
+    """Totals of every batch on both sides, both unique on ``key``: a batch that one side lacks is an ERROR.
+
+    A difference beyond the limit is a WARNING. One side with a NULL total where the other has one counts as lacking it.
+    """
+    held = lambda side, name: side.select(F.col(key).alias(name), F.col(total).cast("double").alias(f"{name}_total"))
+    pairs = held(computed, "silver").join(held(reported, "gold"), F.expr("silver <=> gold"), "full_outer")
+    limit = f"{limits.max_cap_difference_percent!r}d"
+    difference = "abs(try_divide(silver_total - gold_total, silver_total) * 100d)"
+    lacking = "silver_total is null and gold_total is not null or gold_total is null and silver_total is not null"
+    level = f"case when {lacking} then 'ERROR' when {difference} > {limit} then 'WARNING' end"
+    text = (
+        "case when silver_total is null then 'gold has a total of a batch that silver lacks' "
+        "when gold_total is null then 'gold lacks the total of a batch' "
+        f"else format_string('totals of the batch differ by %.2f%%', {difference}) end"
+    )
+    subject = "coalesce(cast(silver as string), cast(gold as string))"
+    return _alerts(pairs, [_alert(level, "batch_reconciliation", subject, difference, limit, text)])
+
+
 def run_duration_check(
     runs: DataFrame, as_of, name: str | None = None, limits: Thresholds = DEFAULTS
 ) -> DataFrame:
@@ -253,7 +278,7 @@ def run_duration_check(
     unfinished = "last is not null and last.end_time is null"
     level = f"case when {unfinished} then 'ERROR' when last._seconds > {ceiling} then 'WARNING' end"
     text = (
-        f"case when {unfinished} then 'last run did not complete' "
+        f"case when {unfinished} then 'the newest run has not ended' "
         "else format_string('run took %d s, average is %.0f s', last._seconds, average) end"
     )
     return _alerts(figures, [_alert(level, "run_duration", "last.run_id", "last._seconds", ceiling, text)])
@@ -282,6 +307,36 @@ def health_report(
     )
 
 
+def figures_report(
+    spark: SparkSession,
+    figures: Callable[[], DataFrame],
+    totals: Callable[[], tuple[DataFrame, DataFrame]],
+    runs: Callable[[], DataFrame],
+    as_of,
+    name: str | None = None,
+    limits: Thresholds = DEFAULTS,
+) -> DataFrame:
+    """All alerts from stored figures, one row a layer in the columns of ``layer_figures``; no layer's table is read.
+
+    ``totals`` gives what each run's market added up to and what gold reports, as ``pipeline_run_id, total``. Each check
+    is guarded by itself.
+    """
+    layers = [bronze_layer(None), silver_layer(None), gold_layer(None)]
+
+    def layer_checks() -> DataFrame:
+        candidates = [c for layer in layers[:2] for c in _freshness(layer, limits)]
+        candidates += [c for layer in layers for c in (*_row_count(layer, limits), *_nulls(layer, limits))]
+        candidates += _retention(layers[0], layers[1], limits)
+        return _alerts(_in_one_row(figures(), layers).withColumn("as_of", _moment(as_of)), candidates)
+
+    checks: dict[str, Callable[[], DataFrame]] = {
+        "layers": layer_checks,
+        "batch_reconciliation": lambda: batch_reconciliation(*totals(), "pipeline_run_id", limits=limits),
+        "run_duration": lambda: run_duration_check(runs(), as_of, name, limits),
+    }
+    return reduce(DataFrame.unionByName, [guarded(spark, check, build) for check, build in checks.items()])
+
+
 def health_status(alerts: DataFrame) -> DataFrame:
     """One row: ``status`` is 1 if any alert is an ERROR, else 0, with the alert counts."""
     return alerts.agg(

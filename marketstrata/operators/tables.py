@@ -26,6 +26,9 @@ log = logging.getLogger(__name__)
 
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
+#: Days named one by one in a merge's filter; updates that touch more are bounded by their first and last day.
+MAX_DAYS = 1000
+
 
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the schema if absent; with a location its managed tables live there."""
@@ -114,7 +117,7 @@ def write_table(
         if mode == "ignore":
             return
         if mode == "append" or (mode == "overwrite" and not overwrite_schema):
-            df = _aligned(df, table, merge_schema)
+            df = aligned(df, table, merge_schema)
             partition_by = partition_by or partition_columns(spark, table)
     if partition_by and balance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
@@ -124,7 +127,7 @@ def write_table(
     writer.saveAsTable(table)
 
 
-def _aligned(df: DataFrame, table: str, merge_schema: bool) -> DataFrame:
+def aligned(df: DataFrame, table: str, merge_schema: bool) -> DataFrame:
     """``df`` in the column order of ``table``, after adding to the table what only ``df`` has."""
     spark = df.sparkSession
     target = spark.read.table(table).schema
@@ -171,10 +174,10 @@ def evolve_union(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return _description(spark, table).get("partition_columns", [])
+    return description(spark, table).get("partition_columns", [])
 
 
-def _description(spark: SparkSession, table: str) -> dict:
+def description(spark: SparkSession, table: str) -> dict:
     """What the catalog knows about a table; reads no data and runs no job."""
     return json.loads(spark.sql(f"DESCRIBE EXTENDED {quoted(table)} AS JSON").first()[0])
 
@@ -185,6 +188,7 @@ def new_versions(
     keys: list[str],
     range_key: str | None = None,
     keep_null_keys: bool = True,
+    day: str | None = None,
 ) -> DataFrame:
     """Rows of ``updates`` whose key is not in ``target`` yet, one per key.
 
@@ -193,18 +197,44 @@ def new_versions(
     ``range_key`` (by default the last key) bounds the scan of the target: only values between
     the least and greatest of the updates can match. The two bounds are fetched first, so that
     the filter is constant and skips partitions and row groups of an ordered history.
+
+    ``day`` names a column of both sides, the day (or month) of ``range_key``, by which the target is partitioned. Then only
+    the partitions of the very days that the updates hold are read, however far apart they are, and the target's
+    keys are first reduced to those among the updates: by a broadcast where these are few, otherwise by Spark's own
+    run-time filter and join.
     """
     range_key = range_key or keys[-1]
     whole = reduce(and_, [F.col(key).isNotNull() for key in keys])
     keyed = updates.filter(whole)
     fresh = dedupe_snapshot(keyed, keys, newest=range_key)
-    near = target.filter(F.col(range_key).between(*_bounds(keyed, range_key)))
+    if day:
+        near = target.filter(on_days(keyed, day)).select(*keys).join(keyed.select(*keys), keys, "left_semi")
+    else:
+        near = target.filter(F.col(range_key).between(*_bounds(keyed, range_key)))
     # Distinct on the map side: copies of one key in the target do not pile up in a task.
     known = near.select(*keys).distinct()
     new = fresh.join(known, keys, "left_anti").select(*updates.columns)
     return new.unionByName(updates.filter(~whole)) if keep_null_keys else new
 
 
+def day_of(column: str | Column) -> Column:
+    """The UTC day of an instant, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(column) / F.lit(86_400_000_000)).cast("int"))
+
+
+def month_of(column: str | Column) -> Column:
+    """The first day of an instant's UTC month: partitions that an hourly feed fills well and a merge prunes by."""
+    return F.trunc(day_of(column), "month")
+
+
+def on_days(rows: DataFrame, day: str) -> Column:
+    """A constant filter on ``day`` that holds for all days of ``rows``; beyond ``MAX_DAYS`` of them for the span they cover."""
+    days = [r[0] for r in rows.select(day).filter(F.col(day).isNotNull()).distinct().limit(MAX_DAYS + 1).collect()]
+    if len(days) > MAX_DAYS:
+        return F.col(day).between(*[F.lit(d) for d in rows.agg(F.min(day), F.max(day)).first()])
+    return F.col(day).isin(sorted(days)) if days else F.lit(False)
+
+
 def _bounds(df: DataFrame, column: str) -> tuple[Column, Column]:
     """Least and greatest value as literals; instants travel as microseconds, free of time zones."""
     kind = df.schema[column].dataType
@@ -222,19 +252,23 @@ def insert_only_merge(
     keys: list[str],
     range_key: str | None = None,
     keep_null_keys: bool = True,
+    day: str | None = None,
 ) -> None:
     """Append the new versions among ``updates``; stored versions never change.
 
     Running it again with the same updates adds nothing (except rows with a NULL key; send
     those to quarantine first). ``updates`` is evaluated once for its bounds and once for its
-    rows, so store it first where it is costly to compute.
+    rows, so store it first where it is costly to compute. ``day`` is the date column the table is
+    partitioned by; it is taken from ``range_key`` where the updates lack it.
     """
     spark = updates.sparkSession
+    if day and day not in updates.columns:
+        updates = updates.withColumn(day, day_of(range_key or keys[-1]))
     if not table_exists(spark, table):
-        create_typed_table(spark, table, updates.schema)
+        create_typed_table(spark, table, updates.schema, [day] if day else None)
     # Another session may have written since this one listed the files.
     spark.catalog.refreshTable(table)
-    fresh = new_versions(updates, spark.read.table(table), keys, range_key, keep_null_keys)
+    fresh = new_versions(updates, spark.read.table(table), keys, range_key, keep_null_keys, day)
     write_table(fresh, table, "append", merge_schema=True, stamp=False)
 
 
@@ -249,11 +283,11 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: list[str], bal
         columns = [f for f in df.schema.fields if f.name not in partition_by]
         columns += [df.schema[name] for name in partition_by]
         create_typed_table(spark, table, T.StructType(columns), partition_by)
-    aligned = _aligned(df, table, merge_schema=True)
+    rows = aligned(df, table, merge_schema=True)
     if balance:
-        aligned = aligned.hint("rebalance", *[F.col(c) for c in partition_by])
+        rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
     with _dynamic_overwrite(spark):
-        aligned.write.mode("overwrite").insertInto(table)
+        rows.write.mode("overwrite").insertInto(table)
 
 
 def drop_partition(spark: SparkSession, table: str, partition: dict[str, str]) -> None:
@@ -337,7 +371,7 @@ def layer_inventory(spark: SparkSession, schema: str, sample: int = 10) -> DataF
         if entry.isTemporary or entry.tableType == "VIEW":
             continue
         table = f"{schema}.{entry.name}"
-        detail = _description(spark, table)
+        detail = description(spark, table)
         total, first = 0, []
         if detail.get("partition_columns"):
             names = spark.sql(f"SHOW PARTITIONS {quoted(table)}").orderBy("partition")

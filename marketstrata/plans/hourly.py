@@ -8,24 +8,32 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from marketstrata.contracts import ALERTS, BRONZE, LEADERS, MERGE_KEYS, METRICS, PAYLOAD, RUN_LOG, SILVER
-from marketstrata.operators.conform import conform_bronze, missing_columns, silver_transform, stamp_batch
+from marketstrata.contracts import (
+    ALERTS, BRONZE, BRONZE_TABLE, FIGURES, LEADERS, MERGE_KEYS, METRICS_TABLE, PAYLOAD, RUN_LOG, SILVER_TABLE, STATISTICS,
+    VALIDATION, VERSION_MONTH,
+)
+from marketstrata.operators import rollup
+from marketstrata.operators.conform import fit_contract, missing_columns, require_columns, silver_transform, stamp_batch
 from marketstrata.operators.dedupe import dedupe_snapshot
 from marketstrata.operators.leaders import gold_leaders
 from marketstrata.operators.metrics import gold_metrics
-from marketstrata.operators.monitor import DEFAULTS, Thresholds, guarded_report
-from marketstrata.operators.quality import require_valid, split_rows, validation_report, validation_summary
+from marketstrata.operators.monitor import DEFAULTS, Thresholds, bronze_layer, figures_report, gold_layer, silver_layer
+from marketstrata.operators.publish import publish_partitions, publish_table
+from marketstrata.operators.quality import RUN_RULES, flag_rows, flagged_report, require_valid, split_flagged, validation_summary
 from marketstrata.operators.runlog import append_run_log, observe_ingest, run_record
 from marketstrata.operators.tables import (
+    MAX_DAYS,
     create_typed_table,
     drop_partition,
     ensure_schema,
     insert_only_merge,
+    month_of,
     overwrite_partitions,
     write_table,
 )
@@ -47,6 +55,9 @@ class LayerTables:
     leaders: str
     run_log: str
     alerts: str
+    validation: str
+    figures: str
+    statistics: str
 
     @classmethod
     def under(cls, schema: str) -> LayerTables:
@@ -58,6 +69,9 @@ class LayerTables:
             f"{schema}.gold_top_performers",
             f"{schema}.run_log",
             f"{schema}.alerts",
+            f"{schema}.run_validation",
+            f"{schema}.layer_figures",
+            f"{schema}.layer_statistics",
         )
 
 
@@ -78,22 +92,29 @@ def utc_now() -> dt.datetime:
 def ensure_layers(spark: SparkSession, tables: LayerTables, location: str | None = None) -> None:
     """Create the schema and the typed tables that do not exist yet."""
     ensure_schema(spark, tables.bronze.rpartition(".")[0], location)
-    create_typed_table(spark, tables.bronze, BRONZE, [RUN], "append-only snapshot log")
-    create_typed_table(spark, tables.silver, SILVER, comment="cleaned history, one row per coin version")
-    create_typed_table(spark, tables.metrics, METRICS, comment="one row per batch")
-    create_typed_table(spark, tables.leaders, LEADERS, ["market_cap_rank"], "leaders of the newest batch")
+    create_typed_table(spark, tables.bronze, BRONZE_TABLE, [RUN], "append-only snapshot log")
+    create_typed_table(spark, tables.silver, SILVER_TABLE, [VERSION_MONTH], "cleaned history, one row per coin version")
+    create_typed_table(spark, tables.metrics, METRICS_TABLE, comment="one row per run")
+    create_typed_table(spark, tables.leaders, LEADERS, comment="leaders of the newest batch")
+    create_typed_table(spark, tables.validation, VALIDATION, [RUN], "broken rules of each run")
+    create_typed_table(spark, tables.figures, FIGURES, comment="figures of each run and layer, which add up")
+    create_typed_table(spark, tables.statistics, STATISTICS, comment="statistics of each layer")
     create_typed_table(spark, tables.run_log, RUN_LOG, comment="one row per run")
     create_typed_table(spark, tables.alerts, ALERTS, comment="alerts of the newest run")
 
 
 def ingest_bronze(payload: DataFrame, tables: LayerTables, result: RunResult, now: dt.datetime) -> None:
-    """Conform, deduplicate and write one run; counters come from the write itself."""
-    conformed = conform_bronze(stamp_batch(payload, now, result.run_id))
+    """Judge the payload as it came, then conform, deduplicate and write one run; counters come from the write itself.
+
+    The rules see the values before they are typed, so text in a number, a fractional rank or an infinity is named in
+    ``broken_rules`` although the typed column holds NULL.
+    """
+    judged = flag_rows(require_columns(stamp_batch(payload, now, result.run_id)), RUN_RULES, severity="any")
     absent = missing_columns(payload, PAYLOAD.fieldNames())
     counted = Observation("ingest")
-    unique = dedupe_snapshot(conformed, [RUN, "id"], copies="_copies")
+    unique = dedupe_snapshot(fit_contract(judged, BRONZE_TABLE), [RUN, "id"], copies="_copies")
     # The deduplication already spread the single run over tasks; no second shuffle to balance it.
-    overwrite_partitions(observe_ingest(unique, "_copies", counted), tables.bronze, [RUN], balance=False)
+    publish_partitions(observe_ingest(unique, "_copies", counted), tables.bronze, balance=False)
     seen = counted.get
     result.processed, result.saved = int(seen["records_processed"]), int(seen["records_saved"])
     result.metadata = {
@@ -103,55 +124,97 @@ def ingest_bronze(payload: DataFrame, tables: LayerTables, result: RunResult, no
     }
 
 
+def run_rows(spark: SparkSession, tables: LayerTables, run_id: str) -> DataFrame:
+    return spark.read.table(tables.bronze).filter(F.col(RUN) == run_id)
+
+
 def refine_silver(spark: SparkSession, tables: LayerTables, run_id: str, now: dt.datetime, strict: bool) -> DataFrame:
-    """Validate this run, quarantine broken rows, merge the rest into the history.
+    """Count the broken rules of this run, quarantine the rows that broke an error rule, merge the rest into the history.
 
     Returns the run's valid rows in silver form, stored once: the merge and the gold layer both read them, so
     gold covers the run's whole market, also the coins whose version silver already has.
     """
-    good = run = spark.read.table(tables.bronze).filter(F.col(RUN) == run_id)
+    run = run_rows(spark, tables, run_id)
+    # One row a rule, read once here for the table and for the verdict.
+    counted = [(run_id, *row) for row in flagged_report(run).collect()]
+    report = spark.createDataFrame(counted, VALIDATION)
+    publish_partitions(report.coalesce(1), tables.validation, balance=False)
     # A run that is repaired must not keep the rows that were set aside before.
     drop_partition(spark, tables.quarantine, {RUN: run_id})
+    good, bad = split_flagged(run)
     if strict:
         # Passing means that no row broke an error rule, so there is nothing to set aside.
-        require_valid(validation_summary(validation_report(run)))
+        require_valid(validation_summary(report))
     else:
-        good, bad = split_rows(run)
         overwrite_partitions(bad, tables.quarantine, [RUN])
     # Error rules reject NULL merge keys, so none are left among the good rows.
-    versions = stored(silver_transform(good, now), "run-versions")
-    insert_only_merge(versions, tables.silver, MERGE_KEYS, keep_null_keys=False)
+    versions = stored(silver_transform(good, now).withColumn(VERSION_MONTH, month_of("last_updated")), "run-versions")
+    insert_only_merge(versions, tables.silver, MERGE_KEYS, keep_null_keys=False, day=VERSION_MONTH)
     return versions
 
 
-def aggregate_gold(spark: SparkSession, tables: LayerTables, batch: DataFrame) -> None:
-    """Metrics of a run's market, once per batch; its leaders, unless a newer batch has written them."""
-    metrics = stored(gold_metrics(batch), "metrics")
-    insert_only_merge(metrics, tables.metrics, ["as_of_timestamp"], keep_null_keys=False)
-    spark.catalog.refreshTable(tables.metrics)
-    own = metrics.agg(F.max("as_of_timestamp")).first()[0]
-    newest = spark.read.table(tables.metrics).agg(F.max("as_of_timestamp")).first()[0]
-    if own is not None and own >= newest:
-        write_table(gold_leaders(batch), tables.leaders, "overwrite", partition_by=["market_cap_rank"], stamp=False)
+def aggregate_gold(spark: SparkSession, tables: LayerTables, batch: DataFrame, run_id: str) -> None:
+    """Metrics of a run's market in place of those it had; leaders of the newest batch.
+
+    The metrics hold one row a run, so they are written anew as a whole and switched. The leaders are those of
+    ``batch`` where it is the newest; where a repeated run has ceased to be it, they are taken anew from the run that is.
+    """
+    others = spark.read.table(tables.metrics).filter(~F.col(RUN).eqNullSafe(run_id))
+    metrics = gold_metrics(batch).filter("as_of_timestamp is not null").withColumn(RUN, F.lit(run_id))
+    publish_table(others.unionByName(metrics).coalesce(1), tables.metrics)
+    at = F.col("as_of_timestamp")
+    newest = spark.read.table(tables.metrics).orderBy(at.desc(), (F.col(RUN) == run_id).desc(), F.col(RUN).desc()).first()
+    if newest is None:
+        publish_table(spark.createDataFrame([], LEADERS), tables.leaders)
+    elif newest[RUN] == run_id:
+        publish_table(gold_leaders(batch), tables.leaders)
+    elif spark.read.table(tables.leaders).filter(at == F.lit(newest["as_of_timestamp"])).isEmpty() and newest[RUN]:
+        good, _ = split_flagged(run_rows(spark, tables, newest[RUN]))
+        publish_table(gold_leaders(stored(silver_transform(good, newest["as_of_timestamp"]), "newest")), tables.leaders)
+
+
+def record_figures(spark: SparkSession, tables: LayerTables, run_id: str, versions: DataFrame) -> None:
+    """Store what this run holds in each layer. Reads the run's own partitions, also those of its earlier attempts."""
+    read, moment = spark.read.table, utc_now()
+    own = F.col(RUN) == run_id
+    spark.catalog.refreshTable(tables.silver)
+    earlier = read(tables.figures).filter(own & (F.col("layer") == "silver")).select(F.explode("days").alias(VERSION_MONTH))
+    days = [r[0] for r in versions.select(VERSION_MONTH).union(earlier).distinct().limit(MAX_DAYS + 1).collect()]
+    silver = read(tables.silver).filter(own)
+    if len(days) <= MAX_DAYS:
+        silver = silver.filter(F.col(VERSION_MONTH).isin(days) if days else F.lit(False))
+    market = replace(silver_layer(versions), name="market")
+    rows = [
+        rollup.run_figures(bronze_layer(run_rows(spark, tables, run_id)), moment, run_id),
+        rollup.run_figures(silver_layer(silver), moment, run_id, days if len(days) <= MAX_DAYS else None),
+        rollup.run_figures(market, moment, run_id),
+        rollup.run_figures(gold_layer(read(tables.metrics).filter(own)), moment, run_id),
+    ]
+    write_table(reduce(DataFrame.unionByName, rows).coalesce(1), tables.figures, "append", stamp=False)
 
 
-def check_health(
-    spark: SparkSession, tables: LayerTables, now: dt.datetime, name: str, limits: Thresholds, batch: DataFrame | None
-) -> DataFrame:
-    """Alerts of all checks, each guarded by itself. ``batch`` is what the newest gold was computed from."""
+def check_health(spark: SparkSession, tables: LayerTables, now: dt.datetime, name: str, limits: Thresholds) -> DataFrame:
+    """Alerts of all checks, each guarded by itself, and the statistics of each layer, from the stored figures alone."""
     read = spark.read.table
-    alerts = guarded_report(
-        spark,
-        lambda: read(tables.bronze),
-        lambda: read(tables.silver),
-        lambda: read(tables.metrics),
-        lambda: read(tables.run_log),
-        now,
-        name,
-        limits,
-        batch,
-    )
-    write_table(alerts, tables.alerts, "overwrite", stamp=False)
+    layers = [bronze_layer(None), silver_layer(None), gold_layer(None)]
+
+    def totals() -> tuple[DataFrame, DataFrame]:
+        markets = rollup.newest_attempts(read(tables.figures)).filter("layer = 'market' and row_count > 0")
+        return markets.select(RUN, F.col("cap_sum").alias("total")), read(tables.metrics).select(RUN, F.col("total_market_cap_usd").alias("total"))
+
+    # Three rows, added up once for all checks.
+    held: list[DataFrame] = []
+
+    def figures() -> DataFrame:
+        if not held:
+            summed = rollup.add_figures(read(tables.figures), layers)
+            held.append(spark.createDataFrame(summed.collect(), summed.schema))
+        return held[0]
+
+    alerts = figures_report(spark, figures, totals, lambda: read(tables.run_log), now, name, limits)
+    publish_table(alerts.coalesce(1), tables.alerts)
+    if held:
+        publish_table(rollup.coined(held[0], layers).coalesce(1), tables.statistics)
     return alerts
 
 
@@ -170,14 +233,14 @@ def hourly_run(
     """Run all layers for one payload and log the run.
 
     An empty payload gives ``SKIPPED``. Any failure is logged as ``FAILED`` and raised. Running
-    the same ``run_id`` again replaces its bronze and quarantine partitions and adds nothing to silver; a run
-    that is late or unlike the newest is still refined as itself.
+    the same ``run_id`` again, with any clock and rows, replaces what it has in bronze, quarantine, validation and gold,
+    and adds to silver only versions that are new; a run that is late or unlike the newest is still refined as itself.
+    Old partitions of bronze and silver are not read: monitoring adds up the figures that each run has stored.
     ``strict`` fails a run with error-level rows; otherwise they are only quarantined.
     """
     started = clock()
     now = now or started
     result = RunResult(run_id)
-    batch: DataFrame | None = None
     ensure_layers(spark, tables, location)
     try:
         ingest_bronze(payload, tables, result, now)
@@ -185,7 +248,8 @@ def hourly_run(
             result.status = "SKIPPED"
         else:
             batch = refine_silver(spark, tables, run_id, now, strict)
-            aggregate_gold(spark, tables, batch)
+            aggregate_gold(spark, tables, batch, run_id)
+            record_figures(spark, tables, run_id, batch)
             result.status = "SUCCESS"
     except Exception as problem:
         result.error = str(problem)
@@ -197,5 +261,5 @@ def hourly_run(
             processing_status=result.status, error=result.error, metadata=result.metadata,
         )
         append_run_log(record, tables.run_log)
-    check_health(spark, tables, now, name, limits, batch)
+    check_health(spark, tables, now, name, limits)
     return result

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from marketstrata.contracts import PAYLOAD
+from marketstrata.contracts import METRICS, PAYLOAD
 from marketstrata.plans.hourly import LayerTables, hourly_run
 from marketstrata.session import fresh_path
 from marketstrata.showcase.market import _metrics_sql
@@ -182,7 +182,7 @@ def hourly(spark, sf_dir):
     tables = LayerTables.under(scratch_schema(spark))
     now = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
     hourly_run(spark, market_payload(spark, sf_dir), tables, "run_1706745600", now, clock=lambda: now)
-    return plain(spark.read.table(tables.metrics), utc=True)
+    return plain(spark.read.table(tables.metrics).select(METRICS.fieldNames()), utc=True)
 
 
 _HOURLY_MARKET = MARKET.replace(
@@ -204,4 +204,4 @@ def hourly_two_runs(spark, sf_dir):
     first = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
     for run, now in (("r2", first + dt.timedelta(hours=1)), ("r1", first), ("r1", first)):
         hourly_run(spark, market_payload(spark, sf_dir), tables, run, now, clock=lambda now=now: now)
-    return plain(spark.read.table(tables.metrics), utc=True)
+    return plain(spark.read.table(tables.metrics).select(METRICS.fieldNames()), utc=True)

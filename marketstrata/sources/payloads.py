@@ -51,6 +51,26 @@ def decode_market_payload(df: DataFrame, text: str, schema: T.StructType = PAYLO
     return df.select(F.inline(_decoded(text, schema)))
 
 
+def scan_raw_market(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """Landed files as ``raw_market`` rows; with ``multi_line=False`` every line is a document, so big files are split."""
+    return raw_market(spark.read.text(path, wholetext=multi_line), "value")
+
+
+def raw_market(df: DataFrame, text: str) -> DataFrame:
+    """One row per coin from a column of JSON text, every payload column as the text it came as.
+
+    The document is held as VARIANT, which keeps each value as it was written, so the rules can judge it before it is
+    typed: a number in quotes, a fraction in a rank, an amount no double or decimal holds. Objects and lists give
+    their JSON. An element that is no object gives a row of NULLs, which the rules report; text that is not JSON gives
+    no row, ``rejected_payloads`` returns it.
+    """
+    body = F.try_parse_json(text)
+    listed = F.schema_of_variant(body).startswith("ARRAY")
+    coins = F.when(listed, F.try_variant_get(body, "$", "array<variant>")).when(body.isNotNull(), F.array(body))
+    held = df.select(F.explode(coins).alias("_coin"))
+    return held.select(*[F.try_variant_get("_coin", f"$.{name}", "string").alias(name) for name in PAYLOAD.fieldNames()])
+
+
 def rejected_payloads(df: DataFrame, text: str, schema: T.StructType = PAYLOAD) -> DataFrame:
     """The rows of ``df`` whose text cannot be decoded."""
     return df.filter(_decoded(text, schema).isNull())

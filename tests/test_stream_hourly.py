@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from marketstrata.contracts import SILVER
+from marketstrata.contracts import SILVER_TABLE
 from marketstrata.plans.hourly import LayerTables, hourly_run
 from marketstrata.session import fresh_path
 from marketstrata.streaming.incremental import landed_snapshots, run_incremental_silver
@@ -40,7 +40,7 @@ def test_incremental_silver_is_exactly_once(spark, schema):
     _land(folder, "r1", [_coin("bitcoin", 75.0, T1), _coin("ethereum", 25.0, T1), _coin("broken", 5.0, "soon")])
     first = {r["coin_id"]: r["market_dominance"] for r in advance().collect()}
     assert first == {"bitcoin": 75.0, "ethereum": 25.0}
-    assert shape(spark.read.table(silver).schema) == shape(SILVER)
+    assert shape(spark.read.table(silver).schema) == shape(SILVER_TABLE)
 
     # Nothing new; then an unchanged coin, a new version and a late one.
     assert advance().count() == 2
@@ -60,6 +60,54 @@ def test_incremental_silver_is_exactly_once(spark, schema):
     assert sorted(r["id"] for r in spark.read.table(quarantine).collect()) == ["broken", "worse"]
 
 
+def _silver(spark, name):
+    rows = spark.read.table(name).select("coin_id", "last_updated", "market_cap_usd", "market_dominance", "pipeline_run_id")
+    return sorted(map(tuple, rows.collect()))
+
+
+def test_a_run_landed_in_moves_equals_one_landed_at_once(spark, schema):
+    """Shares, quarantine and the newest row of a coin are those of the whole run; other runs stay as they are."""
+    first = [_coin("bitcoin", 60.0, T1), _coin("ethereum", 40.0, T1), _coin("broken", 5.0, "soon")]
+    second = [_coin("bitcoin", 70.0, T2), _coin("tether", 90.0, "2023-07-01T00:00:00Z"), _coin("torn", 5.0, "late")]
+    other = [_coin("bitcoin", 10.0, T1), _coin("dai", 30.0, T1)]
+    found = {}
+    for way in ("once", "moves"):
+        folder = tempfile.mkdtemp(prefix="landing-")
+        silver, quarantine, progress = f"{schema}.{way}", f"{schema}.{way}_aside", fresh_path(spark, "progress")
+        moves = [("r1", "a", first + second), ("r0", "b", other)] if way == "once" else [("r1", "a", first), ("r0", "b", other), ("r1", "c", second)]
+        steps = [moves] if way == "once" else [[m] for m in moves]
+        for step in steps:
+            for run, name, coins in step:
+                part = f"{folder}/pipeline_run_id={run}"
+                os.makedirs(part, exist_ok=True)
+                with open(f"{part}/{name}.json", "w") as out:
+                    out.writelines(json.dumps(c) + "\n" for c in coins)
+            run_incremental_silver(landed_snapshots(spark, folder), silver, quarantine, progress, NOW)
+        aside = sorted((r["pipeline_run_id"], r["id"]) for r in spark.read.table(quarantine).collect())
+        found[way] = [(r[0], r[2], r[3], r[4]) for r in _silver(spark, silver) if r[4] == "r1"], aside
+    assert found["once"] == found["moves"]
+    assert found["moves"][0] == [("bitcoin", 70.0, 35.0, "r1"), ("ethereum", 40.0, 20.0, "r1"), ("tether", 90.0, 45.0, "r1")]
+    assert found["moves"][1] == [("r1", "broken"), ("r1", "torn")]
+    # The other run: its bitcoin came second in the moves, its share is over its own market.
+    rows = {r[0]: r[3] for r in _silver(spark, f"{schema}.moves") if r[4] == "r0"}
+    assert rows["dai"] == 75.0
+
+
+def test_a_version_stays_with_the_run_that_brought_it(spark, schema):
+    folder = tempfile.mkdtemp(prefix="landing-")
+    silver, progress = f"{schema}.silver", fresh_path(spark, "progress")
+    advance = lambda p=progress: run_incremental_silver(landed_snapshots(spark, folder), silver, f"{schema}.aside", p, NOW)
+    _land(folder, "r1", [_coin("bitcoin", 75.0, T1), _coin("ethereum", 25.0, T1)])
+    advance()
+    _land(folder, "r2", [_coin("bitcoin", 80.0, T1), _coin("ethereum", 20.0, T2)])
+    advance()
+    before = _silver(spark, silver)
+    assert [(r[0], r[2], r[3], r[4]) for r in before] == [("bitcoin", 75.0, 75.0, "r1"), ("ethereum", 25.0, 25.0, "r1"), ("ethereum", 20.0, 20.0, "r2")]
+    # All files again, both runs in one micro-batch: versions, shares and owners stay.
+    advance(fresh_path(spark, "progress"))
+    assert _silver(spark, silver) == before
+
+
 def _run(spark, coins, schema, run="r1", now=NOW, **options):
     tables = LayerTables.under(schema)
     return tables, hourly_run(spark, coins, tables, run, now, clock=lambda: now, **options)
