@@ -6,19 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketstrata.contracts import LEADERS
+from marketstrata.contracts import LEADERS, SILVER
 from marketstrata.operators.conform import fit_contract
 from marketstrata.operators.shares import attach_by_key
 
-LEADER_COLUMNS = [
-    "coin_id",
-    "name",
-    "symbol",
-    "market_cap_usd",
-    "current_price_usd",
-    "price_change_percentage_24h",
-    "market_dominance",
-]
+# What a leader carries from silver as it is.
+LEADER_COLUMNS = [c for c in LEADERS.fieldNames() if c in SILVER.fieldNames() and c not in ("market_cap_rank", "total_volume_24h")]
 
 
 def top_by_market_cap(
@@ -69,33 +62,41 @@ def top_volume(df: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
+_GAIN, _VOLUME = "price_change_percentage_24h", "total_volume_24h"
+
+
+def _bests(df: DataFrame, k: int) -> DataFrame:
+    """One row, one struct: ranks of the ``k`` greatest caps, and the coins that lead by gain and by volume.
+
+    All three lists come from one pass, in which each task keeps ``k`` rows a measure.
+    """
+    measures = [F.struct(F.lit(m).alias("m"), number_or_null(df, c).alias("v")) for m, c in (("cap", "market_cap_usd"), ("gain", _GAIN), ("volume", _VOLUME))]
+    order = Window.partitionBy("m").orderBy(F.col("v").desc_nulls_last(), F.col("coin_id").asc_nulls_last())
+    first = df.select("coin_id", F.inline(F.array(*measures))).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k)
+    # Tied values share the rank of the first of them.
+    ranked = first.withColumn("rank", F.min("n").over(Window.partitionBy("m", "v")))
+    pick = lambda m: F.collect_list(F.when(F.col("m") == m, F.struct("coin_id", "v", "rank")))
+    return ranked.agg(F.struct(*[pick(m).alias(m) for m in ("cap", "gain", "volume")]).alias("bests"))
+
+
 def top_performers(df: DataFrame, as_of: str = "silver_ingestion_time", k: int = 10) -> DataFrame:
     """Cap leaders, with the gain and the volume of those that also lead by gain or by volume.
 
-    ``df`` is one batch. Both right sides have at most ``k`` rows.
+    ``df`` is one batch with a row a coin. It is read twice: once for the three lists of at most ``k`` entries, once to
+    pick the rows whose cap is among the greatest, any number of ties included.
     """
-    cap = top_by_market_cap(df, k).select("rank", *LEADER_COLUMNS, F.col(as_of).alias("as_of_timestamp"))
-    gain = top_by(df, "price_change_percentage_24h", k).select(
-        "coin_id", F.col("price_change_percentage_24h").alias("top_gainer_24h")
-    )
-    volume = top_by(df, "total_volume_24h", k).select("coin_id", "total_volume_24h")
-    return (
-        cap.join(F.broadcast(gain), "coin_id", "left")
-        .join(F.broadcast(volume), "coin_id", "left")
-        .select(
-            "coin_id",
-            "name",
-            "symbol",
-            F.col("rank").alias("market_cap_rank"),
-            "market_cap_usd",
-            "current_price_usd",
-            "price_change_percentage_24h",
-            "top_gainer_24h",
-            "total_volume_24h",
-            "market_dominance",
-            "as_of_timestamp",
-        )
-    )
+    entry = lambda m, same: F.try_element_at(F.filter(F.col(f"_bests.{m}"), same), F.lit(1))
+    own = lambda x: x["coin_id"] == F.col("coin_id")
+    cap = number_or_null(df, "market_cap_usd")
+    beside = df.withColumn("_bests", _bests(df, k).scalar())
+    found = beside.withColumn("_rank", entry("cap", lambda x: x["v"].eqNullSafe(cap))["rank"]).filter("_rank is not null")
+    named = {
+        "market_cap_rank": F.col("_rank"),
+        "top_gainer_24h": entry("gain", own)["v"],
+        _VOLUME: entry("volume", own)["v"],
+        "as_of_timestamp": F.col(as_of),
+    }
+    return found.select(*[named.get(c, F.col(c)).alias(c) for c in LEADERS.fieldNames()])
 
 
 def gold_leaders(silver_batch: DataFrame) -> DataFrame:

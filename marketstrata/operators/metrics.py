@@ -15,11 +15,10 @@ from marketstrata.functions import (
     exact_avg,
     exact_sum,
     percent_of,
-    quoted,
     text_literal,
 )
 from marketstrata.operators.conform import fit_contract
-from marketstrata.operators.quantiles import exact_quantiles
+from marketstrata.operators.quantiles import column_value, refine_quantiles, sketch_figures
 
 # Coins whose dominance the market metrics report.
 ANCHORS = {"btc": "bitcoin", "eth": "ethereum"}
@@ -54,7 +53,7 @@ def market_metrics(
     anchors = anchors or ANCHORS
     stored_share = "market_dominance" in silver.columns
     change, cap = "price_change_percentage_24h", "market_cap_usd"
-    weighted = f"cast(sum(cast({cap} as {MONEY}) * cast({change} as {PERCENT})) as double)"
+    weighted = f"cast(sum(try_cast({cap} as {MONEY}) * try_cast({change} as {PERCENT})) as double)"
     figures = {
         "total_coins": "count(coin_id)",
         "total_market_cap_usd": exact_sum(cap),
@@ -83,36 +82,39 @@ def _dominance(coin: str, stored_share: bool) -> str:
     return point if stored_share else percent_of(point, exact_sum(value))
 
 
-def profile_columns(
-    df: DataFrame, columns: Sequence[str], approximate: bool = False, accuracy: int = 10_000
-) -> DataFrame:
-    """One row per column: count, mean, stddev, min, quartiles, max; NaN counts as NULL.
+def profile_columns(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
+    """One row per column: count, mean, stddev, min, quartiles, max; NaN counts as NULL, infinities as values.
 
-    Quartiles are elements of the data, exact by default. ``approximate`` takes them in the same
-    pass from a sketch with a rank error of at most ``1 / accuracy``, as ``DataFrame.summary``
-    does.
+    Quartiles are elements of the data. They are exact by default, in two scans of ``df``; ``approximate`` takes them
+    from the sketch of the first scan, within its rank error (``quantiles.RANK_ERROR``). The mean is exact where all
+    values fit the decimals of the sums; with infinities it is infinite, or NaN where both occur, as is the stddev.
+    The scans run when this is called; the result is a row a column.
     """
-    exact = {} if approximate else exact_quantiles(df, columns, QUARTILES)
-    figures, lines = [], []
+    figures = {}
     for i, name in enumerate(columns):
-        value = f"nanvl(cast({quoted(name)} as double), cast(null as double))"
-        texts = {
-            "n": f"count({value})",
-            "mean": exact_avg(value, PRICE),
-            "sd": f"stddev({value})",
-            "min": f"min({value})",
-            "max": f"max({value})",
+        value = column_value(name)
+        whole = f"count(try_cast({value} as {PRICE})) = count({value})"
+        figures |= {
+            f"mean_{i}": f"case when {whole} then {exact_avg(value, PRICE)} else avg({value}) end",
+            f"sd_{i}": f"stddev({value})",
+            f"min_{i}": f"min({value})",
+            f"max_{i}": f"max({value})",
+            **sketch_figures(value, f"_{i}", QUARTILES),
         }
-        if approximate:
-            wanted = ", ".join(f"{p}d" for p in QUARTILES)
-            texts["q"] = f"percentile_approx({value}, array({wanted}), {int(accuracy)})"
-            quartiles = [f"q{i}[{k}]" for k in range(len(QUARTILES))]
-        else:
-            quartiles = [f"cast({'null' if q is None else repr(q) + 'd'} as double)" for q in exact[name]]
-        figures += [F.expr(f"{text} as {part}{i}") for part, text in texts.items()]
-        line = [text_literal(name), f"n{i}", f"mean{i}", f"sd{i}", f"min{i}", *quartiles, f"max{i}"]
-        lines.append("named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(PROFILE, line, strict=True)) + ")")
-    return df.agg(*figures).selectExpr(f"inline(array({', '.join(lines)}))")
+    first = df.agg(*[F.expr(text).alias(name) for name, text in figures.items()]).first().asDict()
+    if approximate:
+        quartiles = {(i, k): first[f"near{k}_{i}"] for i in range(len(columns)) for k in range(len(QUARTILES))}
+    else:
+        quartiles = refine_quantiles(df, columns, QUARTILES, first)
+    rows = [
+        (
+            name, first[f"n_{i}"], first[f"mean_{i}"], first[f"sd_{i}"], first[f"min_{i}"],
+            *[quartiles[i, k] for k in range(len(QUARTILES))], first[f"max_{i}"],
+        )
+        for i, name in enumerate(columns)
+    ]
+    shape = ", ".join(f"`{c}` {'string' if c == 'column' else 'bigint' if c == 'count' else 'double'}" for c in PROFILE)
+    return df.sparkSession.createDataFrame(rows, shape)
 
 
 QUARTILES = [0.25, 0.5, 0.75]

@@ -5,10 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketstrata.contracts import LEADERS, METRICS
-from marketstrata.operators import leaders, metrics
-from marketstrata.operators import shares
+from marketstrata.operators import leaders, metrics, quantiles, shares
 from marketstrata.operators.quantiles import exact_quantiles
 from marketstrata.operators.shares import attach_by_key, market_share
+from marketstrata.session import fresh_path
 from tests.conftest import shape
 
 
@@ -136,3 +136,69 @@ def test_exact_quantiles_of_awkward_columns(spark):
     for name, values in (("wide", wide), ("hot", hot)):
         ordered = sorted(values)
         assert found[name] == [ordered[max(1, math.ceil(p * len(ordered))) - 1] for p in ps]
+
+
+def test_profile_with_nan_and_both_infinities(spark):
+    """NaN is left out, infinities are values: their ranks count, and mean and deviation say so."""
+    inf, nan = float("inf"), float("nan")
+    values = [-inf, -inf, *range(10), nan, None, inf, inf, inf]
+    rows = spark.createDataFrame([(None if v is None else float(v), float(i), inf, None) for i, v in enumerate(values)], "x double, y double, z double, w double")
+    ordered = sorted(v for v in values if v is not None and v == v)
+    for approximate in (False, True):
+        found = {r["column"]: r for r in metrics.profile_columns(rows, ["x", "y", "z", "w"], approximate).collect()}
+        x = found["x"]
+        assert (x["count"], x["min"], x["max"]) == (15, -inf, inf) and math.isnan(x["mean"])
+        assert [x["p25"], x["p50"], x["p75"]] == [ordered[math.ceil(p * 15) - 1] for p in (0.25, 0.5, 0.75)]
+        assert [found["z"][c] for c in ("mean", "min", "p50", "max")] == [inf] * 4
+        assert (found["w"]["count"], found["w"]["p50"], found["w"]["mean"]) == (0, None, None)
+
+
+def test_quantiles_at_the_edges_of_the_infinities(spark):
+    inf = float("inf")
+    rows = spark.createDataFrame([(v,) for v in [-inf] * 3 + [1.0, 2.0] + [inf] * 5], "x double")
+    ps = [0.0, 0.3, 0.31, 0.5, 0.51, 1.0]
+    assert exact_quantiles(rows, ["x"], ps)["x"] == [-inf, -inf, 1.0, 2.0, inf, inf]
+
+
+def test_a_profile_scans_its_input_twice(spark):
+    """The second scan is left out where nothing is left to find."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 30_000, 1, 4).selectExpr("cast((id * 7919) % 30011 as double) as x", "cast(id % 7 as double) as y")
+    watched = rows.mapInArrow(tell, rows.schema)
+    found = {r["column"]: r for r in metrics.profile_columns(watched, ["x", "y"]).collect()}
+    assert seen.value == 60_000
+    ordered = sorted((i * 7919) % 30011 for i in range(30_000))
+    assert [found["x"][c] for c in ("p25", "p50", "p75")] == [ordered[math.ceil(p * 30_000) - 1] for p in (0.25, 0.5, 0.75)]
+    assert [found["y"][c] for c in ("p25", "p50", "p75")] == [1.0, 3.0, 5.0]
+
+
+def test_a_sketch_that_misses_is_made_good(spark, monkeypatch):
+    """With bounds on the wrong side, all values are counted instead."""
+    rows = spark.range(1000).selectExpr("cast(id as double) as x")
+    first = {"n_0": 1000, "low_0": 0, "high_0": 0, "below0_0": 900.0, "above0_0": 950.0}
+    assert quantiles.refine_quantiles(rows, ["x"], [0.5], first) == {(0, 0): 499.0}
+
+
+def test_top_performers_read_the_batch_twice(spark, silver_rows):
+    path = fresh_path(spark, "batch")
+    silver_rows.withColumn("market_dominance", F.lit(1.0)).write.parquet(path)
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    stored = spark.read.parquet(path)
+    rows = {r["coin_id"]: r for r in leaders.top_performers(stored.mapInArrow(tell, stored.schema)).collect()}
+    assert seen.value == 2 * 13
+    assert rows["k01"]["market_cap_rank"] == rows["k02"]["market_cap_rank"] == 2
+    gains = sorted((r for r in silver_rows.collect()), key=lambda r: (r["price_change_percentage_24h"] is None, -(r["price_change_percentage_24h"] or 0), r["coin_id"]))
+    leading = {r["coin_id"] for r in gains[:10]}
+    assert all((r["top_gainer_24h"] is not None) == (c in leading) for c, r in rows.items())
