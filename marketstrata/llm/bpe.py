@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 from hashlib import sha256
 from itertools import chain
@@ -11,18 +12,29 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
 from marketstrata.llm.common import text_batches
 
-#: Fixed value: the split pattern of byte-level pre-tokenizers.
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Signs whose class is the same in every Unicode version; texts with others are split by the library's splitter.
 _SETTLED = re.compile("[\t\n\r\x20-\x7e\xa1-ɏ‐-‧‰-⁞]*")
 
+
+def _kinds(first: str) -> str:
+    """The settled signs above ASCII whose Unicode category begins with ``first``, as part of a character class."""
+    return "".join(c for c in map(chr, range(0xA1, 0x250)) if unicodedata.category(c)[0] == first)
+
+
+def _split_pattern() -> re.Pattern:
+    """The split pattern of byte-level pre-tokenizers (a fixed value), with its letters and numbers spelt out."""
+    letter, number = "A-Za-z" + _kinds("L"), "0-9" + _kinds("N")
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
+
+
+_PIECES = _split_pattern()
+
 #: Bounds of what a worker remembers. They bound memory only: what is forgotten is computed again.
 PIECE_MEMORY = 100_000
 PIECE_CHARS = 64
@@ -124,27 +136,29 @@ class Vocabulary:
         """
         if piece in self.whole:
             return self.whole[piece]
-        n, length, shorter = len(piece), self.length, self.shorter
+        n, length, shorter, size, known = len(piece), self.length, self.shorter, self.size, self.pairs.get
         longest = [0] * n
         for end, token in self.matches.iter(piece):
             longest[end - length[token] + 1] = token  # later ends overwrite with longer tokens
-        alive = bytearray(b"\1" * (n + 1))
+        dead = set()
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while True:
             end = at + length[token]
-            if alive[end] and (not out or self.compatible(out[-1], token)):
-                out.append(token)
-                at = end
-                if at == n:
-                    return out
-                token = longest[at]
-                continue
+            if end not in dead:
+                fits = True if last < 0 else known(last * size + token)
+                if fits or (fits is None and self.compatible(last, token)):
+                    out.append(token)
+                    if end == n:
+                        return out
+                    at, last, token = end, token, longest[end]
+                    continue
             token = shorter[token]
             while token < 0:
-                alive[at] = 0
+                dead.add(at)
                 token = out.pop()
                 at -= length[token]
+                last = out[-1] if out else -1
                 token = shorter[token]
 
     def offset_table(self) -> tuple[np.ndarray, np.ndarray]:
