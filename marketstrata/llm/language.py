@@ -21,7 +21,7 @@ FILTERS = 8
 PER_LANGUAGE = 1500
 PIECES = 12
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # letters, and number signs such as a superscript two
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
@@ -37,6 +37,10 @@ class LanguageModel:
     dense_bias: np.ndarray | None = None
 
 
+def has_letters(text: str) -> bool:
+    return any(sign[0].isalpha() for sign in _LETTER.finditer(text))
+
+
 def _first(offset: int) -> int:
     """Of the filters, ordered by width, the first that reaches this offset."""
     return FILTERS * sum(w <= offset for w in WIDTHS)
@@ -81,7 +85,7 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
 
 def fit_language(sample: pd.DataFrame, epochs: int = 8, batch: int = 128, rate: float = 0.01, seed: int = 3) -> LanguageModel:
     """Adam on the cross-entropy of windows; classes weigh equally whatever their number of windows."""
-    sample = sample[sample.text.map(lambda t: bool(_LETTER.search(t)))]
+    sample = sample[sample.text.map(has_letters)]
     languages = tuple(sorted(sample.label.unique())) if len(sample) else ()
     if len(languages) < 2:
         return LanguageModel(languages)
@@ -142,7 +146,7 @@ def classify(model: LanguageModel, texts: list[str | None]) -> list[tuple[str, f
     The language has the greatest mean log-probability over the windows; the score is its mean probability.
     """
     found = [(UNKNOWN, 0.0)] * len(texts)
-    at = [k for k, t in enumerate(texts) if t and _LETTER.search(t)]
+    at = [k for k, t in enumerate(texts) if t and has_letters(t)]
     if not model.languages or not at:
         return found
     if len(model.languages) == 1:

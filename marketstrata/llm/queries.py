@@ -24,7 +24,8 @@ URL_RULES = [
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+    """Links and components of all vectors; the audit of a sample is the operator's own, here the SQL compares all."""
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98, audit=False)
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,6 +126,28 @@ _CRC = """xor(4294967295, list_reduce(list_concat([4294967295::UBIGINT], flatten
   lambda a, x: CASE WHEN x < 256 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
 
 ORACLE: dict[str, str] = {
+    "op1_embedding_dedup": """
+WITH RECURSIVE vectors AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+fit AS (SELECT * FROM vectors WHERE label IS NOT NULL AND v IS NOT NULL
+  AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM fit AS a JOIN fit AS b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(x, y) AS (SELECT vec_id, vec_id FROM vectors UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+components AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+counts AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN components USING (vec_id) LEFT JOIN counts USING (vec_id)""",
+    "op10_substring_dedup": """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+windows AS (SELECT r, doc_id, i, sha256(array_to_string(list_slice(ws, i, i + 49), ' ')) AS k
+  FROM (SELECT *, unnest(range(1, len(ws) - 48)) AS i FROM texts WHERE len(ws) >= 50 AND doc_id IS NOT NULL)),
+firsts AS (SELECT k, min(doc_id) AS first FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT r, i + j AS p FROM (SELECT r, i, unnest(range(50)) AS j FROM windows JOIN firsts USING (k) WHERE first < doc_id)),
+words AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM texts),
+judged AS (SELECT r, string_agg(w, ' ' ORDER BY p) FILTER (gone.p IS NULL) AS kept, count(gone.p) AS n
+  FROM words LEFT JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN judged USING (r)""",
     "op12_prefix_trie": f"""
 WITH own AS (
   SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,

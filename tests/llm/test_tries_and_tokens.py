@@ -247,11 +247,18 @@ def test_threshold_stops_before_the_end_of_the_lists():
     assert best == [(4500, 7)] and sum(scored) < 400
 
 
-@pytest.mark.parametrize("name", ["op12_prefix_trie", "op13_hard_negatives"])
+@pytest.mark.parametrize("name", ["op1_embedding_dedup", "op10_substring_dedup", "op12_prefix_trie", "op13_hard_negatives"])
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("conversations", "embeddings"):
+    for t in ("conversations", "documents", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SMALL)
     want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE[name]})").fetchall()
     assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.collect())
+
+
+def test_number_signs_are_no_letters():
+    from marketstrata.llm import language
+
+    model = language.LanguageModel(("en",))
+    assert [x[0] for x in language.classify(model, ["² ½ ①", "12 _", "", "½ a", "é", None])] == ["und", "und", "und", "en", "en", "und"]
