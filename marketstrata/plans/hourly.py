@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import re
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -24,7 +26,7 @@ from marketstrata.operators.dedupe import dedupe_snapshot
 from marketstrata.operators.leaders import gold_leaders
 from marketstrata.operators.metrics import gold_metrics
 from marketstrata.operators.monitor import DEFAULTS, Thresholds, bronze_layer, figures_report, gold_layer, silver_layer
-from marketstrata.operators.publish import publish_partitions, publish_table
+from marketstrata.operators.publish import compact_table, publish_partitions, publish_table
 from marketstrata.operators.quality import RUN_RULES, flag_rows, flagged_report, require_valid, split_flagged, validation_summary
 from marketstrata.operators.runlog import append_run_log, observe_ingest, run_record
 from marketstrata.operators.tables import (
@@ -34,6 +36,7 @@ from marketstrata.operators.tables import (
     ensure_schema,
     insert_only_merge,
     month_of,
+    on_days,
     overwrite_partitions,
     write_table,
 )
@@ -193,6 +196,21 @@ def record_figures(spark: SparkSession, tables: LayerTables, run_id: str, versio
     write_table(reduce(DataFrame.unionByName, rows).coalesce(1), tables.figures, "append", stamp=False)
 
 
+def tend_tables(spark: SparkSession, tables: LayerTables, versions: DataFrame, max_files: int) -> None:
+    """Compact what hourly appends leave in small files: the months of silver this run touched, run log and figures.
+
+    Files are counted from listings, without a job; a table or month of at most ``max_files`` files is left alone.
+    """
+    for name in (tables.run_log, tables.figures):
+        if len(spark.read.table(name).inputFiles()) > max_files:
+            compact_table(spark, name)
+    touched = spark.read.table(tables.silver).filter(on_days(versions, VERSION_MONTH))
+    folders = Counter(re.search(f"{VERSION_MONTH}=([^/]*)", file)[1] for file in touched.inputFiles())
+    full = [month for month, files in folders.items() if files > max_files]
+    if full:
+        compact_table(spark, tables.silver, where=F.col(VERSION_MONTH).cast("string").isin(full))
+
+
 def check_health(spark: SparkSession, tables: LayerTables, now: dt.datetime, name: str, limits: Thresholds) -> DataFrame:
     """Alerts of all checks, each guarded by itself, and the statistics of each layer, from the stored figures alone."""
     read = spark.read.table
@@ -229,6 +247,7 @@ def hourly_run(
     limits: Thresholds = DEFAULTS,
     clock: Callable[[], dt.datetime] = utc_now,
     location: str | None = None,
+    max_files: int = 48,
 ) -> RunResult:
     """Run all layers for one payload and log the run.
 
@@ -236,11 +255,13 @@ def hourly_run(
     the same ``run_id`` again, with any clock and rows, replaces what it has in bronze, quarantine, validation and gold,
     and adds to silver only versions that are new; a run that is late or unlike the newest is still refined as itself.
     Old partitions of bronze and silver are not read: monitoring adds up the figures that each run has stored.
+    Tables or months of more than ``max_files`` files are compacted after the run.
     ``strict`` fails a run with error-level rows; otherwise they are only quarantined.
     """
     started = clock()
     now = now or started
     result = RunResult(run_id)
+    batch: DataFrame | None = None
     ensure_layers(spark, tables, location)
     try:
         ingest_bronze(payload, tables, result, now)
@@ -261,5 +282,7 @@ def hourly_run(
             processing_status=result.status, error=result.error, metadata=result.metadata,
         )
         append_run_log(record, tables.run_log)
+    if batch is not None:
+        tend_tables(spark, tables, batch, max_files)
     check_health(spark, tables, now, name, limits)
     return result

@@ -194,3 +194,12 @@ def test_infinity_is_set_aside_by_name(spark, schema, coins):
     tables = _run(spark, rows, schema, strict=False)
     assert spark.read.table(tables.quarantine).first()["broken_rules"] == ["market_cap:is_finite_or_null"]
     assert float(spark.read.table(tables.metrics).first()["total_market_cap_usd"]) == 240e9
+
+
+def test_a_run_compacts_what_it_leaves_in_small_files(spark, schema, coins):
+    for k in range(5):
+        tables = _run(spark, _later(coins, 10 + k), schema, f"r{k}", NOW + k * HOUR, max_files=2)
+    for name in (tables.silver, tables.run_log, tables.figures):
+        assert len(spark.read.table(name).inputFiles()) <= 3
+    assert (spark.read.table(tables.silver).count(), spark.read.table(tables.run_log).count()) == (10, 5)
+    assert {r["row_count"] for r in spark.read.table(tables.statistics).collect()} == {10, 5}
