@@ -84,6 +84,18 @@ def publish_partitions(df: DataFrame, table: str, balance: bool = True) -> int:
     return len(folders)
 
 
+def write_version(df: DataFrame, table: str, partition: dict) -> dict[str, str]:
+    """Write the rows of one known partition to a version folder; returns what ``switch_partitions`` takes.
+
+    For a caller that knows the partition: nothing is looked up in the written files, and it may still decide not to
+    switch, for instance because no row was written.
+    """
+    spark = df.sparkSession
+    path = new_version(spark, table)
+    aligned(df, table, merge_schema=True).drop(*partition).write.parquet(path)
+    return {_spec(list(partition), list(partition.values())): path}
+
+
 def written_folders(written: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """Specification and folder of each partition among written files; reads no data column."""
     folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("_folder")

@@ -26,7 +26,7 @@ from marketstrata.operators.dedupe import dedupe_snapshot
 from marketstrata.operators.leaders import gold_leaders
 from marketstrata.operators.metrics import gold_metrics
 from marketstrata.operators.monitor import DEFAULTS, Thresholds, bronze_layer, figures_report, gold_layer, silver_layer
-from marketstrata.operators.publish import compact_table, publish_partitions, publish_table
+from marketstrata.operators.publish import compact_table, publish_partitions, publish_table, switch_partitions, write_version
 from marketstrata.operators.quality import RUN_RULES, flag_rows, flagged_report, require_valid, split_flagged, validation_summary
 from marketstrata.operators.runlog import append_run_log, observe_ingest, run_record
 from marketstrata.operators.tables import (
@@ -117,7 +117,13 @@ def ingest_bronze(payload: DataFrame, tables: LayerTables, result: RunResult, no
     counted = Observation("ingest")
     unique = dedupe_snapshot(fit_contract(judged, BRONZE_TABLE), [RUN, "id"], copies="_copies")
     # The deduplication already spread the single run over tasks; no second shuffle to balance it.
-    publish_partitions(observe_ingest(unique, "_copies", counted), tables.bronze, balance=False)
+    rows = observe_ingest(unique, "_copies", counted)
+    if RUN in payload.columns:
+        publish_partitions(rows, tables.bronze, balance=False)
+    else:
+        written = write_version(rows, tables.bronze, {RUN: result.run_id})
+        if counted.get["records_saved"]:
+            switch_partitions(payload.sparkSession, tables.bronze, written)
     seen = counted.get
     result.processed, result.saved = int(seen["records_processed"]), int(seen["records_saved"])
     result.metadata = {
@@ -141,7 +147,7 @@ def refine_silver(spark: SparkSession, tables: LayerTables, run_id: str, now: dt
     # One row a rule, read once here for the table and for the verdict.
     counted = [(run_id, *row) for row in flagged_report(run).collect()]
     report = spark.createDataFrame(counted, VALIDATION)
-    publish_partitions(report.coalesce(1), tables.validation, balance=False)
+    switch_partitions(spark, tables.validation, write_version(report.coalesce(1), tables.validation, {RUN: run_id}))
     # A run that is repaired must not keep the rows that were set aside before.
     drop_partition(spark, tables.quarantine, {RUN: run_id})
     good, bad = split_flagged(run)
