@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketstrata.llm.source_lexer import reached, read_source
+
 # Fixed values of the scan's contract.
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
@@ -21,18 +23,15 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "named")
 
-#: name, optional closing quote, operator, then a quoted literal, or a bare one up to white space or an end sign.
-_PAIR = re.compile(
-    r"""(?:^|[^A-Za-z0-9_.\-])["'`]?(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*)["'`]?[ \t]*(?::=|=>|==?|:)[ \t]*"""
-    r"""(?P<value>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|[^\s"'`,;(){}\[\]<>]+)""",
-    re.ASCII,
-)
 _SENSITIVE = re.compile(
     r"(?:^|_)(?:password|passwd|pass|pwd|passphrase|secret|token|apikey|api_key|access_key|private_key|"
     r"auth|credential|credentials|signing_key|encryption_key|client_key)(?:_|$)"
 )
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
-_IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z", re.ASCII)
+#: A sensitive name holds one of these, in either case.
+_STEMS = re.compile("pass|pwd|secret|token|key|auth|credential", re.ASCII | re.IGNORECASE)
+#: How templates write what is filled in later.
+_TEMPLATE = re.compile(r"\$\{|\{\{|%\(|<[A-Za-z_]|\$[A-Za-z_(]")
 _PLACEHOLDERS = {"changeme", "example", "placeholder", "none", "null", "true", "false", "undefined", "redacted", "xxxxxxxx"}
 
 
@@ -59,42 +58,28 @@ def literal_score(name: str, value: str) -> float:
     The name must be sensitive by itself; variety of signs, length and digits of the literal add up.
     """
     plain = _CAMEL.sub("_", name).lower().replace("-", "_").replace(".", "_")
-    if not _SENSITIVE.search(plain) or len(value) < 8 or value.lower() in _PLACEHOLDERS or " " in value:
+    if not _SENSITIVE.search(plain) or len(value) < 8 or value.lower() in _PLACEHOLDERS or " " in value or _TEMPLATE.match(value):
         return 0.0
     signs = any(c.isdigit() for c in value) + any(c.isalpha() for c in value) + any(not c.isalnum() for c in value)
     return min(1.0, 0.3 + 0.12 * min(entropy(value), 4.0) + 0.1 * (signs - 1) + 0.01 * min(len(value), 20))
 
 
 def named_spans(text: str, threshold: float = 0.7) -> list[tuple[int, int, int]]:
-    """Literals reached by sensitive names, directly or through constants assigned earlier or later."""
-    if "=" not in text and ":" not in text:
+    """Literals reached by sensitive names, directly or through any chain of constants, assigned earlier or later.
+
+    A literal in pieces is scored as a whole; each piece is a span. Texts without any sensitive word are not lexed.
+    """
+    if not _STEMS.search(text):
         return []
-    literals: dict[str, list[tuple[int, int, str]]] = {}
-    aliases: list[tuple[str, str]] = []
-    for m in _PAIR.finditer(text):
-        name, raw, start, end = m["name"], m["value"], m.start("value"), m.end("value")
-        quoted = raw[0] in "\"'`"
-        value = raw[1:-1] if quoted else raw
-        if quoted:
-            start, end = start + 1, end - 1
-        if not quoted and _IDENTIFIER.match(raw):
-            aliases.append((name, raw))
-        if value:
-            literals.setdefault(name, []).append((start, end, value))
-    found = {
-        (start, 3, end)
-        for name, values in literals.items()
-        for start, end, value in values
-        if literal_score(name, value) >= threshold
-    }
-    # Names that end up in a sensitive one carry its sensitivity back to the literal they hold.
-    wanted = {source for name, source in aliases if literal_score(name, "a1B2c3D4e5F6g7H8") >= threshold}
-    more = wanted
-    while more:
-        more = {source for name, source in aliases if name in more} - wanted
-        wanted |= more
-    for name in wanted:
-        found |= {(s, 3, e) for s, e, value in literals.get(name, ()) if literal_score("secret", value) >= threshold}
+    reading = read_source(text)
+    sensitive = {name for name, _ in reading.aliases if literal_score(name, "a1B2c3D4e5F6g7H8") >= threshold}
+    carried = reached(reading.aliases, sensitive)
+    found = set()
+    for given in reading.given:
+        # Names that end up in a sensitive one carry its sensitivity back to the literal they hold.
+        name = "secret" if given.name in carried else given.name
+        if max(literal_score(name, given.value), literal_score(given.name, given.value)) >= threshold:
+            found |= {(start, 3, end) for start, end in given.pieces}
     return sorted(found)
 
 
@@ -128,8 +113,9 @@ def scan_secrets(documents: DataFrame, text: str = "text", id_column: str = "doc
     """One row a document: counts a kind, a digest of the base spans, and all spans.
 
     NULL text is empty; an empty list has the digest of an empty string and empty ``spans``. Ids may be NULL or
-    repeat, every row is scanned by itself, and other columns are not read. Each batch of rows is streamed
-    through a task, so nothing is shuffled. Texts are scanned whole.
+    repeat, every row is scanned by itself, and other columns are not read, whatever their names. Each batch of rows is
+    streamed through a task, so nothing is shuffled. Texts are scanned whole. Spans that begin together are ordered by
+    kind. An empty table gives an empty one.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +138,10 @@ def scan_secrets(documents: DataFrame, text: str = "text", id_column: str = "doc
 
 
 def redact_secrets(documents: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The same rows and columns with the secrets in ``text`` replaced; NULL text stays NULL, no row goes."""
+    """The same rows and columns with the secrets in ``text`` replaced; NULL text stays NULL, no row goes.
+
+    Overlapping spans are replaced as one. Texts are read whole; an empty table stays empty.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
