@@ -11,7 +11,10 @@ from marketstrata.session import stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the toxicity model does not reject; it learns from the labelled ones among them."""
+    """Documents the toxicity model does not reject; it learns from the labelled ones among them.
+
+    NULL and empty texts are judged like others. Without enough labels nothing is rejected.
+    """
     return toxicity.drop_toxic(docs, toxicity.train_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
@@ -27,17 +30,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item, NULL and empty texts included; an empty benchmark drops nothing."""
     return decontaminate.drop_leaking(docs, decontaminate.fit_leak_finder(docs, table(spark, sf_dir, "benchmark")))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their secrets blotted out."""
+    """All documents, with their secrets blotted out; NULL texts stay NULL."""
     return secrets.redact_secrets(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences; NULL and empty texts are an end sign alone."""
     return packing.pack_documents(docs, tokenizer_path())
 
 
@@ -54,7 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; every result but the last is written to the shared folder and read again."""
+    """All stages in order; every result but the last is written to the shared folder and read again.
+
+    Repeated rows of one id leave one row, whole long texts pass every stage, further columns are carried along.
+    Empty tables give an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

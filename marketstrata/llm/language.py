@@ -128,7 +128,11 @@ def fit_language(sample: pd.DataFrame, epochs: int = 8, batch: int = 128, rate:
 def train_language(
     documents: DataFrame, text: str = "text", lang: str = "lang", id_column: str = "doc_id", held_out_fold: int = 1, folds: int = 3
 ) -> LanguageModel:
-    """Fit on at most ``PER_LANGUAGE`` documents a language outside the held-out fold; NULL languages do not count."""
+    """Fit on at most ``PER_LANGUAGE`` documents a language outside the held-out fold; NULL languages do not count.
+
+    The bound is on rows; of a long text ``PIECES`` stretches, spread evenly over it, are used. Without any such
+    document every prediction is ``und``.
+    """
     known = documents.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (fold(id_column, folds) != held_out_fold))
     sample = sampled_texts(
         documents.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text")),
@@ -167,7 +171,8 @@ def classify(model: LanguageModel, texts: list[str | None]) -> list[tuple[str, f
 def identify_language(documents: DataFrame, model: LanguageModel, text: str = "text", id_column: str = "doc_id", folds: int = 3) -> DataFrame:
     """``id, held_out, lang_pred, score`` of every row, from its whole text alone, where it is read.
 
-    ``held_out`` is false for a NULL id; ids may repeat; other columns are not read.
+    ``held_out`` is false for a NULL id; ids and rows may repeat; other columns are not read, whatever their names. Of
+    equally likely languages the first by name is taken. An empty table gives an empty one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -183,7 +183,9 @@ def simhash_groups(
     Fingerprints that differ in at most ``budget`` bits are linked; ``component_id`` is the least id reachable.
     Equal fingerprints collapse to one before any comparison, so exact copies cost nothing, whatever their
     number. NULL and empty texts have fingerprint zero and link like any other. A row with a NULL id is
-    returned with its fingerprint; it takes the least id of its group and never names one. Repeated rows stay.
+    returned with its fingerprint; it takes the least id of its group and never names one. Repeated rows stay. Texts
+    are read whole, other columns are not read, whatever their names. A bit set in exactly half the hashes is 0. An
+    empty table gives an empty one.
     """
     rows = stored(fingerprints(documents, text, id_column, width, seed), "prints")
     distinct = stored(rows.groupBy("print").agg(F.min("id").alias("least")), "distinct-prints")

@@ -183,7 +183,9 @@ def remove_repeated(documents: DataFrame, text: str = "text", id_column: str = "
     anchor that very many texts have is dealt window by window instead, so that no shard depends on it.
 
     A row with a NULL id keeps its words and takes none from others; NULL and empty texts have no word; texts
-    shorter than a window are kept. Repeated rows get equal results; ids must be numbers.
+    shorter than a window are kept. Repeated rows get equal results; ids must be numbers. Rows of one id never take words
+    from each other. Texts are read whole, other columns are not read, whatever their names. An empty table gives an
+    empty one.
     """
     spark = documents.sparkSession
     rows = _texts(documents, text, id_column)

@@ -155,7 +155,8 @@ def train_toxicity(
 def score_toxicity(documents: DataFrame, model: ToxicityModel, text: str = "text", id_column: str = "doc_id", folds: int = 5) -> DataFrame:
     """``id, held_out, score, predicted`` of every row, from its whole text alone; NULL is empty.
 
-    ``held_out`` is false for a NULL id. Rows are scored where they are read.
+    ``held_out`` is false for a NULL id. Rows are scored where they are read, by themselves, so repeated rows have
+    equal scores and ids may repeat. Other columns are not read, whatever their names. An empty table gives an empty one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,7 +40,8 @@ def match_urls(urls: DataFrame, rules: DataFrame, url: str = "url", default: str
     hosts and paths do not multiply. They meet the rules by a 32-bit hash prefix in an equi-join, which Spark
     broadcasts only when the rules are measurably small and splits when a key is hot; the whole digest and the
     path then confirm. NULL, empty and malformed URLs have empty host and path. Other columns are kept, except
-    that the four result names are replaced. Repeated rows stay repeated.
+    that the four result names are replaced. Repeated rows stay repeated. No urls give no rows; no rules give every
+    url the default.
     """
     rules = (
         rules.filter("host IS NOT NULL AND path IS NOT NULL AND action IS NOT NULL")
