@@ -29,16 +29,19 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and lexed secrets of every whole text."""
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the fixed rules."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     judged = url_filters.match_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the place and the shares that confirm it."""
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     finder = decontaminate.fit_leak_finder(documents, benchmark)
     return decontaminate.benchmark_leaks(documents, finder, benchmark.schema["item_id"].dataType.simpleString())
@@ -52,29 +55,35 @@ def tokenizer_path() -> str:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in their sequences."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message in canonical JSON, with what is known of its calls or its result."""
     return chat.format_chat(table(spark, sf_dir, "conversations"))
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document."""
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), width=3, seed=42, budget=3)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from the documents that are not held out."""
     documents = table(spark, sf_dir, "documents")
     return language.identify_language(documents, language.train_language(documents))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from the labels that are not held out."""
     documents = table(spark, sf_dir, "documents")
     model = toxicity.train_toxicity(documents, table(spark, sf_dir, "labels"))
     return toxicity.score_toxicity(documents, model)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that a document with a smaller id holds in the same window."""
     return substrings.remove_repeated(table(spark, sf_dir, "documents"))
 
 
