@@ -197,9 +197,9 @@ def test_infinity_is_set_aside_by_name(spark, schema, coins):
 
 
 def test_a_run_compacts_what_it_leaves_in_small_files(spark, schema, coins):
-    for k in range(5):
-        tables = _run(spark, _later(coins, 10 + k), schema, f"r{k}", NOW + k * HOUR, max_files=2)
+    for k in range(3):
+        tables = _run(spark, _later(coins, 10 + k), schema, f"r{k}", NOW + k * HOUR, max_files=1)
     for name in (tables.silver, tables.run_log, tables.figures):
-        assert len(spark.read.table(name).inputFiles()) <= 3
-    assert (spark.read.table(tables.silver).count(), spark.read.table(tables.run_log).count()) == (10, 5)
-    assert {r["row_count"] for r in spark.read.table(tables.statistics).collect()} == {10, 5}
+        assert len(spark.read.table(name).inputFiles()) <= 2
+    assert (spark.read.table(tables.silver).count(), spark.read.table(tables.run_log).count()) == (6, 3)
+    assert {r["row_count"] for r in spark.read.table(tables.statistics).collect()} == {6, 3}
