@@ -93,6 +93,25 @@ def test_vectors_beside_clashing_columns(spark):
     assert all(r.audit_links in (None, r.n_links) for r in audited)
 
 
+def test_vectors_are_audited_by_their_query(spark, tmp_path, monkeypatch):
+    # Ten near copies in one label, every row twice, one id also with a vector and a label that cannot link.
+    rows = [(k, [1.0, 0.001 * k], 1) for k in range(10)] * 2 + [(20 + k, [0.0, 1.0], k) for k in range(5)] + [(3, None, None)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    audited = embeddings.near_vectors(frame).filter("audit_links is not null and n_links > 0").collect()
+    assert {(r.vec_id, r.n_links, r.audit_links) for r in audited} == {(k, 19, 19) for k in range(10)}
+    frame.write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert queries.op1_embedding_dedup(spark, str(tmp_path)).columns == ["vec_id", "n_links", "component_id", "kept"]
+    whole = embeddings.link_vectors
+
+    def lossy(*args):
+        found, links = whole(*args)
+        return found, links.filter("false")
+
+    monkeypatch.setattr(embeddings, "link_vectors", lossy)
+    with pytest.raises(ValueError, match="audited links"):
+        queries.op1_embedding_dedup(spark, str(tmp_path))
+
+
 def test_packing_an_empty_table(empty):
     assert packing.pack_documents(empty, queries.tokenizer_path()).count() == 0
 
