@@ -12,8 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketstrata.llm.common import mix, span_hashes, text_batches
-from marketstrata.session import stored
+from marketstrata.llm.common import span_hashes, text_batches
 
 FEATURE_BITS = 14
 RANK = 96
@@ -23,11 +22,13 @@ BLOCK = 8
 PROBE_WORDS = 64
 PROBE_COLUMNS = 128
 RUN_WORDS = 8
-SAMPLE_PASSAGES = 12_000
-SAMPLE_PARTS = 8
-PRODUCT_ROWS = 256  # passages multiplied at a time
+LEAST_PASSAGES = 12_000  # as many count where items are weighed against fewer
+PRODUCT_ROWS = 1024  # passages multiplied at a time
+SUM_PARTS = 16
+_SUM_ROWS = 16  # features of a block of products
+_FREQUENT = 12  # rows of a feature beyond which they are summed by a matrix product
 _COUNT_ROWS = 1024
-_STEP = 32  # words of a passage, for counts and for the sample
+_STEP = 32  # words of a passage, for counts and for products
 
 _FEATURES = 1 << FEATURE_BITS
 _LETTERS = np.zeros(256, np.uint8)
@@ -90,79 +91,117 @@ def passage_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     return np.concatenate([found.get(k, np.zeros(_COUNT_ROWS, np.int64)) for k in range(_FEATURES // _COUNT_ROWS)]), n
 
 
-def _sampled_passages(rows: DataFrame, share: float) -> DataFrame:
-    """Feature lists of about ``share`` of the passages, chosen by a hash of their own words."""
-    limit = np.uint64(min(1.0, share) * ((1 << 64) - 2048))
+def add_products(total: np.ndarray, rows: np.ndarray, idf: np.ndarray, turned: np.ndarray) -> None:
+    """Add to ``total`` the products of these TF-IDF rows with ``turned``, and back: ``AᵀA`` times the directions.
+
+    ``rows`` has the features of a row, padded with ``_FEATURES``; ``turned`` has the directions times ``idf``, and a
+    row of zeros for the padding. ``total`` lacks the factor ``idf`` of the way back, which is the same in all rows.
+    Rows have unit length. Where a feature is frequent its rows are summed by a matrix product, otherwise one by one.
+    """
+    n, wide = rows.shape
+    sums = np.take(turned, rows[:, 0], axis=0)
+    taken = np.empty_like(sums)
+    for k in range(1, wide):
+        sums += np.take(turned, rows[:, k], axis=0, out=taken, mode="clip")
+    sums /= np.maximum((np.append(idf, 0.0)[rows] ** 2).sum(axis=1), 1e-18)[:, None].astype(np.float32)
+    name, row = rows.ravel(), np.repeat(np.arange(n), wide)
+    row, name = row[name < _FEATURES], name[name < _FEATURES]
+    frequent = np.flatnonzero(np.bincount(name, minlength=_FEATURES) > _FREQUENT)
+    slot = np.full(_FEATURES, -1)
+    slot[frequent] = np.arange(len(frequent))
+    often = slot[name] >= 0
+    counts = np.bincount(slot[name[often]] * n + row[often], minlength=len(frequent) * n).reshape(len(frequent), n)
+    total[frequent] += counts.astype(np.float32) @ sums
+    name, row = name[~often], row[~often]
+    order = np.argsort(name, kind="stable")
+    name, row = name[order], row[order]
+    # The k-th rows of all features at a time: no feature occurs twice in a round, and there are few rounds.
+    first = np.searchsorted(name, name)
+    turn = np.arange(len(name)) - first
+    for k in range(int(turn.max(initial=-1)) + 1):
+        now = np.flatnonzero(turn == k)
+        total[name[now]] += sums[row[now]]
+
+
+def padded(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, idf: np.ndarray) -> Iterator[np.ndarray]:
+    """Feature rows of spans of words, ``PRODUCT_ROWS`` at a time; features without weight are left out."""
+    weighty = np.append(np.where(idf > 0, np.arange(_FEATURES), _FEATURES), _FEATURES)
+    for a in range(0, len(starts), PRODUCT_ROWS):
+        low, high = starts[a : a + PRODUCT_ROWS], ends[a : a + PRODUCT_ROWS]
+        place = low[:, None] + np.arange(int((high - low).max()))
+        inside = place < high[:, None]
+        yield weighty[np.where(inside, features(codes[np.minimum(place, len(codes) - 1)]), _FEATURES)]
+
+
+def passage_products(rows: DataFrame, idf: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """``AᵀA`` times the directions, over the TF-IDF rows ``A`` of all passages of all texts: ``features x directions``.
+
+    A task sends one matrix of a fixed size in blocks of features, which are added up block by block as they arrive.
+    """
+    width = directions.shape[1]
+    turned = np.vstack((idf[:, None] * directions, np.zeros((1, width)))).astype(np.float32)
+
+    def block_rows(blocks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        names = sorted(blocks)
+        sums = [blocks[k].astype("<f4").tobytes() for k in names]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(sums, pa.binary())], names=["block", "sums"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((_FEATURES, width))
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
-            out = []
             for a, b in text_batches(texts):
                 codes, at = word_codes(texts[a:b])
-                starts = np.concatenate([np.arange(x, y, _STEP) for x, y in zip(at[:-1], at[1:], strict=True)] or [np.zeros(0, np.int64)]).astype(np.int64)
-                ends = np.minimum(starts + _STEP, at[np.searchsorted(at, starts, side="right")]) if len(starts) else starts
-                chosen = mix(span_hashes(codes, starts, ends)) <= limit
-                out += [features(codes[x:y]) for x, y in zip(starts[chosen], ends[chosen], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], names=["features"])
-
-    return rows.mapInArrow(run, "features array<long>")
-
-
-def _weighted(lists: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """TF-IDF rows of unit length: row numbers, features, weights."""
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    column = np.concatenate([np.zeros(0, np.int64), *lists]).astype(np.int64)
-    weight = idf[column]
-    norm = np.sqrt(np.bincount(row, weight**2, minlength=len(lists)))
-    return row, column, weight / np.maximum(norm[row], 1e-9)
-
+                counts = -(-np.diff(at) // _STEP)
+                inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                starts = np.repeat(at[:-1], counts) + _STEP * inner
+                part = np.zeros((_FEATURES, width), np.float32)
+                for passages in padded(codes, starts, np.minimum(starts + _STEP, np.repeat(at[1:], counts)), idf):
+                    add_products(part, passages, idf, turned)
+                total += part
+        blocks = total.reshape(-1, _SUM_ROWS, width)
+        yield from block_rows({k: x for k, x in enumerate(blocks) if x.any()})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for name, sums in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                totals.setdefault(name, np.zeros(_SUM_ROWS * width))
+                totals[name] += np.frombuffer(sums.as_buffer(), "<f4")
+        yield from block_rows(totals)
 
-def _times(row: np.ndarray, column: np.ndarray, weight: np.ndarray, n: int, right: np.ndarray) -> np.ndarray:
-    out = np.zeros((n, right.shape[1]))
-    np.add.at(out, row, weight[:, None] * right[column])
-    return out
+    kind = "block int, sums binary"
+    found = rows.mapInArrow(run, kind).repartition(SUM_PARTS, "block").mapInArrow(add, kind)
+    total = np.zeros((_FEATURES // _SUM_ROWS, _SUM_ROWS * width))
+    for r in found.collect():  # as many rows as the feature space has blocks
+        total[r.block] = np.frombuffer(r.sums, "<f4")
+    return idf[:, None] * total.reshape(_FEATURES, width)
 
 
-def latent_space(sample: DataFrame, idf: np.ndarray) -> np.ndarray:
-    """Feature vectors by a randomised SVD of the sample's TF-IDF matrix: ``features x RANK``.
+def latent_space(rows: DataFrame, pieces: list[np.ndarray], scale: float, idf: np.ndarray) -> np.ndarray:
+    """Feature vectors by a randomised SVD of the TF-IDF matrix of all passages and of the item pieces: ``features x RANK``.
 
-    Two rounds over the distributed rows: the first multiplies them with random directions and back, which
-    gives a basis of the row space; the second projects them and sums their products, whose eigenvectors turn
-    the basis. A task sends one matrix of a fixed size and multiplies ``PRODUCT_ROWS`` passages at a time.
+    One round over the distributed rows multiplies them with random directions and back. These products hold the row
+    space and, between them and the directions, what the matrix is in it (Nyström's form), so that its singular
+    vectors follow on the driver from matrices of a fixed size. A piece weighs ``scale`` times a passage.
     """
-    width = RANK + OVERSAMPLE
-    rng = np.random.default_rng(17)
-    directions = rng.normal(size=(_FEATURES, width))
-
-    def summed(make, shape: tuple[int, int]) -> np.ndarray:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(shape)
-            for pdf in batches:
-                for a in range(0, len(pdf), PRODUCT_ROWS):
-                    part = pdf.iloc[a : a + PRODUCT_ROWS]
-                    lists = [np.asarray(x) for x in part.features]
-                    row, column, weight = _weighted(lists, idf)
-                    make(total, row, column, weight * part.scale.to_numpy()[row], len(lists))
-            yield pd.DataFrame({"m": [total.astype("<f4").tobytes()]})
-
-        total = np.zeros(shape)
-        for r in sample.mapInPandas(run, "m binary").toLocalIterator():
-            total += np.frombuffer(r.m, "<f4").reshape(shape)
-        return total
-
-    def back(total, row, column, weight, n):
-        y = _times(row, column, weight, n, directions)
-        np.add.at(total, column, weight[:, None] * y[row])
-
-    basis = np.linalg.qr(summed(back, (_FEATURES, width)))[0]
-
-    def products(total, row, column, weight, n):
-        c = _times(row, column, weight, n, basis)
-        total += c.T @ c
-
-    _, vectors = np.linalg.eigh(summed(products, (width, width)))
-    return basis @ vectors[:, ::-1][:, :RANK]
+    directions = np.linalg.qr(np.random.default_rng(17).normal(size=(_FEATURES, RANK + OVERSAMPLE)))[0]
+    products = passage_products(rows, idf, directions)
+    if pieces:
+        own = np.zeros(products.shape)
+        turned = np.vstack((idf[:, None] * directions, np.zeros((1, directions.shape[1])))).astype(np.float32)
+        ends = np.cumsum([len(p) for p in pieces])
+        for block in padded(np.concatenate(pieces), np.concatenate(([0], ends[:-1])), ends, idf):
+            add_products(own, block, idf, turned)
+        products += scale * idf[:, None] * own
+    inner = directions.T @ products
+    values, turn = np.linalg.eigh((inner + inner.T) / 2)
+    sound = values > 1e-6 * max(float(values[-1]), 1e-18)
+    space = np.zeros((_FEATURES, RANK))
+    if sound.any():
+        vectors, _, _ = np.linalg.svd(products @ (turn[:, sound] / np.sqrt(values[sound])), full_matrices=False)
+        space[:, : min(RANK, vectors.shape[1])] = vectors[:, :RANK]
+    return space
 
 
 @dataclass(frozen=True)
@@ -386,7 +425,7 @@ def fit_leak_finder(
 ) -> LeakFinder:
     """Statistics over all passages of the documents, a latent space, and the benchmark projected into it.
 
-    The frequencies cover every document; the SVD is fitted on about ``SAMPLE_PASSAGES`` passages and all items.
+    The frequencies and the SVD cover every passage of every document, and the SVD all items.
     The benchmark is the query set: its words go to every task, so it must fit in one task's memory; its rows
     with NULL, empty or wordless texts ask for nothing.
     """
@@ -397,10 +436,7 @@ def fit_leak_finder(
     items = sorted((i for i in items if i[1] and len(word_codes([i[1]])[0])), key=lambda i: (str(i[0]), i[1]))
     probes = make_probes(items)
     # The items weigh more than the corpus passages together, so that the space holds them well.
-    scale = float(np.sqrt(ITEM_WEIGHT * SAMPLE_PASSAGES / max(1, len(probes.item))))
-    own = documents.sparkSession.createDataFrame([(features(p).tolist(), scale) for p in probes.pieces], "features array<long>, scale double")
-    sample = _sampled_passages(rows, SAMPLE_PASSAGES / max(n, 1)).withColumn("scale", F.lit(1.0)).unionByName(own)
-    space = latent_space(stored(sample.repartition(SAMPLE_PARTS), "passages"), idf)
+    space = latent_space(rows, probes.pieces, ITEM_WEIGHT * max(n, LEAST_PASSAGES) / max(1, len(probes.item)), idf)
     # One more row, of zeros, for places without a word.
     embed = np.vstack((idf[:, None] * space, np.zeros((1, RANK)))).astype(np.float32)
     return LeakFinder(embed, np.append(idf**2, 0.0), probes.placed(embed, np.append(idf**2, 0.0)), [i[0] for i in items], cosine, lcs, answer)

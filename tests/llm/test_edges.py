@@ -66,6 +66,33 @@ def test_product_rows_do_not_change_the_space(spark, monkeypatch):
     assert np.allclose(whole @ whole.T, cut @ cut.T, atol=1e-2)
 
 
+def test_the_space_holds_every_passage(spark):
+    # 90 passages of 32 words of their own, 200 times each: more passages than a sample of 12,000 would take.
+    topics = [" ".join(f"t{k}x{j}" for j in range(32)) for k in range(90)]
+    rows = docs(spark, [(k, " ".join([t] * 20), "en") for k, t in enumerate(topics * 10)])
+    finder = decontaminate.fit_leak_finder(rows, spark.createDataFrame([(1, words(40, 3))], "item_id long, text string"))
+    for topic in topics:
+        at = decontaminate.features(decontaminate.word_codes([topic])[0])
+        assert np.linalg.norm(finder.embed[at].sum(axis=0)) > 0.95 * np.sqrt(finder.weight[at].sum())
+
+
+def test_products_of_all_passages(spark):
+    texts = [words(n, n, "p") + " the the the" for n in (0, 5, 31, 32, 700, 1300)] + [" ".join(["the"] * 3000), "", None]
+    rows = docs(spark, [(k, t, "en") for k, t in enumerate(texts * 3)]).select("text").repartition(4)
+    idf = np.random.default_rng(1).uniform(0.5, 2, decontaminate._FEATURES)
+    idf[decontaminate.features(decontaminate.word_codes(["p7"])[0])] = 0
+    directions = np.random.default_rng(2).normal(size=(decontaminate._FEATURES, 5))
+    want = np.zeros(directions.shape)
+    for text in texts:
+        names = decontaminate.features(decontaminate.word_codes([text or ""])[0])
+        for a in range(0, len(names), 32):
+            row = np.bincount(names[a : a + 32], idf[names[a : a + 32]], decontaminate._FEATURES)
+            row /= np.sqrt((idf[names[a : a + 32]] ** 2).sum())
+            want += 3 * np.outer(row, row @ directions)
+    got = decontaminate.passage_products(rows, idf, directions)
+    assert np.abs(got - want).max() < 1e-4 * np.abs(want).max()
+
+
 def test_chat_of_an_empty_table(spark):
     rows = spark.createDataFrame([], "conv_id long, turn long, role string, text string, link string, message string")
     assert chat.format_chat(rows).count() == 0
