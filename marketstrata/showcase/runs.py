@@ -25,6 +25,7 @@ from marketstrata.showcase.standins import (
     silver,
     table,
 )
+from marketstrata.session import stored
 from marketstrata.sources.payloads import raw_market
 
 _NAMED = MARKET.replace(
@@ -62,7 +63,7 @@ def _runs(spark, schema, attempts):
 )
 def hourly_rerun(spark, sf_dir):
     """A run lands in part, is repeated whole with another clock before and after the next run, and counts once."""
-    whole = market_payload(spark, sf_dir)
+    whole = stored(market_payload(spark, sf_dir), "payload")
     attempts = [
         ("r1", _at(0), _some(whole), {}),
         ("r2", _at(1), _some(whole), {}),
@@ -79,7 +80,7 @@ def hourly_rerun(spark, sf_dir):
 )
 def hourly_late_run(spark, sf_dir):
     """The later run is first; the late one has other coins and leaves the leaders to the newest batch."""
-    whole = market_payload(spark, sf_dir)
+    whole = stored(market_payload(spark, sf_dir), "payload")
     names = _runs(spark, scratch_schema(spark), [("r2", _at(2), whole, {}), ("r1", _at(0), _some(whole), {})])
     metrics = spark.read.table(names.metrics)
     leaders_at = spark.read.table(names.leaders).agg(F.max("as_of_timestamp")).scalar()

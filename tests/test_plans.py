@@ -1,5 +1,6 @@
 """The physical plans that matter at scale."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketstrata.operators import batches, leaders, tables
@@ -8,6 +9,7 @@ from marketstrata.operators.monitor import row_count_check, silver_layer
 from marketstrata.operators.quality import validation_report
 from marketstrata.operators.shares import market_share
 from marketstrata.session import fresh_path, shared_dir
+from marketstrata.showcase import QUERIES, payloads, runs
 
 
 def _plan(df):
@@ -112,3 +114,17 @@ def test_share_of_a_hot_run_runs_nothing_while_it_is_built(spark):
     hot = found.filter("run = 'hot'")
     assert hot.count() == 1900
     assert abs(hot.agg(F.sum("market_dominance")).first()[0] - 100) < 1e-6
+
+
+@pytest.mark.parametrize(("module", "name"), [(payloads, "hourly_two_runs"), (runs, "hourly_rerun"), (runs, "hourly_late_run")])
+def test_the_payload_of_several_runs_is_built_once(spark, coins, monkeypatch, module, name):
+    built = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            built.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(module, "market_payload", lambda *_: coins.mapInArrow(counted, coins.schema))
+    assert [r.total_coins for r in QUERIES[name](spark, "").collect()] == [2, 2]
+    assert built.value == coins.count()
