@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,8 @@ BLOCK = 8
 PROBE_WORDS = 64
 PROBE_COLUMNS = 128
 RUN_WORDS = 8
+SEARCH_BYTES = 250_000  # of texts searched at a time, so that their blocks' products stay in a core's reach
+BOUNDS = 4096  # stretches whose subsequences are bounded at a time
 LEAST_PASSAGES = 12_000  # as many count where items are weighed against fewer
 PRODUCT_ROWS = 1024  # passages multiplied at a time
 SUM_PARTS = 16
@@ -31,6 +34,7 @@ _COUNT_ROWS = 1024
 _STEP = 32  # words of a passage, for counts and for products
 
 _FEATURES = 1 << FEATURE_BITS
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS = np.zeros(256, np.uint8)
 _LETTERS[48:58] = np.arange(48, 58)
 _LETTERS[97:123] = np.arange(97, 123)
@@ -113,7 +117,7 @@ def add_products(total: np.ndarray, rows: np.ndarray, idf: np.ndarray, turned: n
     counts = np.bincount(slot[name[often]] * n + row[often], minlength=len(frequent) * n).reshape(len(frequent), n)
     total[frequent] += counts.astype(np.float32) @ sums
     name, row = name[~often], row[~often]
-    order = np.argsort(name, kind="stable")
+    order = np.argsort(name.astype(np.uint16), kind="stable")  # sorted by radix
     name, row = name[order], row[order]
     # The k-th rows of all features at a time: no feature occurs twice in a round, and there are few rounds.
     first = np.searchsorted(name, name)
@@ -227,13 +231,33 @@ class Probes:
             whole.append((f, (count * weight[f] / np.sqrt(max((count**2 * weight[f]).sum(), 1e-9))).astype(np.float32)))
         return replace(self, vector=vector / np.maximum(np.sqrt((vector**2).sum(axis=1, keepdims=True)), 1e-9), whole=whole)
 
-    def columns(self, pieces: np.ndarray) -> np.ndarray:
-        """What a word adds to its window's product with each of the pieces: ``features + 1 x pieces``."""
-        out = np.zeros((_FEATURES + 1, len(pieces)), np.float32)
-        for k, p in enumerate(pieces.tolist()):
-            f, value = self.whole[p]
-            out[f, k] = value
-        return out
+    def columns(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each feature's row in a table, and the table: what a word adds to its window's product with each of the pieces.
+
+        The features that no piece has share row 0, of zeros, as do places without a word.
+        """
+        names, values = (np.concatenate(x) for x in zip(*(self.whole[p] for p in pieces.tolist()), strict=True))
+        column = np.repeat(np.arange(len(pieces)), [len(self.whole[p][0]) for p in pieces.tolist()])
+        held = np.unique(names[values != 0])
+        row = np.zeros(_FEATURES + 1, np.int64)
+        row[held] = np.arange(1, len(held) + 1)
+        table = np.zeros((len(held) + 1, len(pieces)), np.float32)
+        table[row[names], column] = values
+        return row, table
+
+    @cached_property
+    def bits(self) -> tuple[np.ndarray, np.uint64]:
+        """For a piece and a feature the places of the piece's words, one bit each, in a hash table, and its shift.
+
+        What meets in the table is united, so that bits are too many at times and never too few.
+        """
+        piece = np.repeat(np.arange(len(self.pieces)), [len(p) for p in self.pieces]).astype(np.uint64)
+        size = max(10, (4 * len(piece)).bit_length())
+        shift, table = np.uint64(64 - size), np.zeros(1 << size, np.uint64)
+        place = np.concatenate([np.arange(len(p)) for p in self.pieces]).astype(np.uint64)
+        key = (piece << np.uint64(FEATURE_BITS)) + features(np.concatenate(self.pieces)).astype(np.uint64)
+        np.bitwise_or.at(table, (key * _SPREAD) >> shift, np.uint64(1) << place)
+        return table, shift
 
 
 def answer_of(text: str) -> str:
@@ -276,6 +300,28 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return len(a) - v.bit_count()
 
 
+def subsequence_bounds(names: np.ndarray, low: np.ndarray, high: np.ndarray, pieces: np.ndarray, probes: Probes) -> np.ndarray:
+    """At least the length of the longest common subsequence of each piece with the features ``names[low:high]``.
+
+    ``common_subsequence`` of many at a time, each piece in 64 bits; words of one feature count as the same.
+    """
+    table, shift = probes.bits
+    key = (pieces.astype(np.uint64) << np.uint64(FEATURE_BITS)) * _SPREAD
+    names = names.astype(np.uint64) * _SPREAD
+    order = np.argsort(high - low, kind="stable")
+    bound = np.empty(len(pieces), np.int64)
+    for a in range(0, len(order), BOUNDS):
+        mine = order[a : a + BOUNDS]
+        start, size, own = low[mine], (high - low)[mine], key[mine]
+        left = np.full(len(mine), ~np.uint64(0))
+        for j, k in enumerate(np.searchsorted(size, np.arange(int(size[-1])), "right").tolist()):
+            v = left[k:]  # the stretches of over j words
+            u = v & table[(own[k:] + names[start[k:] + j]) >> shift]
+            left[k:] = (v + u) | (v - u)
+        bound[mine] = 64 - np.bitwise_count(left).astype(np.int64)
+    return bound
+
+
 def verbatim_copies(codes: np.ndarray, at: np.ndarray, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """``(first word, item)`` of every copy of an item, word by word, that lies inside one text."""
     sizes = np.array([len(w) for w in words])
@@ -289,6 +335,10 @@ def verbatim_copies(codes: np.ndarray, at: np.ndarray, words: list[np.ndarray])
         mine = mine[np.argsort(opening[mine], kind="stable")]
         first = np.arange(max(0, len(codes) - n + 1))
         seen = span_hashes(codes, first, first + n)
+        known = np.zeros(1 << 16, bool)
+        known[opening[mine] >> np.uint64(48)] = True
+        first = np.flatnonzero(known[seen >> np.uint64(48)])
+        seen = seen[first]
         low, high = np.searchsorted(opening[mine], seen, "left"), np.searchsorted(opening[mine], seen, "right")
         first, low, count = first[high > low], low[high > low], (high - low)[high > low]
         place = np.repeat(first, count)
@@ -313,13 +363,14 @@ def find_leaks(texts: list[str], probes: Probes, embed: np.ndarray, weight: np.n
     block_start = np.repeat(at[:-1], counts) + BLOCK * inner
     # A row of features a block; places past a text's end point to the row of zeros.
     place = block_start[:, None] + np.arange(BLOCK)
-    feature = np.where(place < np.repeat(at[1:], counts)[:, None], features(codes)[np.minimum(place, len(codes) - 1)], _FEATURES)
+    names = features(codes)
+    feature = np.where(place < np.repeat(at[1:], counts)[:, None], names[np.minimum(place, len(codes) - 1)], _FEATURES)
 
-    def block_sums(table: np.ndarray) -> np.ndarray:
-        sums = table[feature[:, 0]]
+    def block_sums(table: np.ndarray, row: np.ndarray) -> np.ndarray:
+        sums = table[row[:, 0]]
         rows = np.empty_like(sums)
         for k in range(1, BLOCK):
-            sums += np.take(table, feature[:, k], axis=0, out=rows, mode="clip")
+            sums += np.take(table, row[:, k], axis=0, out=rows, mode="clip")
         return sums
 
     blocks = np.arange(len(feature))
@@ -334,7 +385,7 @@ def find_leaks(texts: list[str], probes: Probes, embed: np.ndarray, weight: np.n
             window[ended] = kept
 
     energy = np.concatenate(([0.0], np.cumsum(weight[feature].sum(axis=1))))
-    latent = block_sums(embed)
+    latent = block_sums(embed, feature)
     window, reach = latent.copy(), 1
     begins = np.concatenate(([True], block_text[1:] != block_text[:-1]))
     exact, items = verbatim_copies(codes, at, probes.words)
@@ -343,7 +394,8 @@ def find_leaks(texts: list[str], probes: Probes, embed: np.ndarray, weight: np.n
     ready = 0
     for part in range(0, len(by_width), PROBE_COLUMNS):
         pieces = by_width[part : part + PROBE_COLUMNS]
-        sums = block_sums(probes.columns(pieces))
+        row, table = probes.columns(pieces)
+        sums = block_sums(table, row[feature])
         whole, spread = sums.copy(), 1
         for width in np.unique(probes.blocks[pieces]).tolist():
             if width != ready:
@@ -351,19 +403,38 @@ def find_leaks(texts: list[str], probes: Probes, embed: np.ndarray, weight: np.n
                 # A window that the end of its text cuts short is looked at from where it is whole, or at the start.
                 unused = np.flatnonzero((stop - blocks != width) & ~begins)
                 # The window's length is that of its whole TF-IDF vector: what lies outside the space counts against it.
-                length = np.sqrt(np.maximum(energy[stop] - energy[blocks], 1e-9)).astype(np.float32)[:, None]
+                length = np.sqrt(np.maximum(energy[stop] - energy[blocks], 1e-9)).astype(np.float32)
+                least = (length * (cosine - 1e-5))[:, None]
+                least[unused] = np.inf
                 widen(window, latent, reach, width)
                 ready = reach = width
-            widen(whole, sums, spread, width)
-            spread = width
             low, high = np.searchsorted(probes.blocks[pieces], [width, width + 1])
+            widen(whole[:, low:], sums[:, low:], spread, width)
+            spread = width
             mine = pieces[low:high]
             # The space holds ever less of an item as the benchmark grows; the whole vectors do not depend on its size.
-            near = np.maximum(window @ probes.vector[mine].T, whole[:, low:high]) / length
-            near[unused] = -1
-            w, p = np.nonzero(near >= cosine)
-            candidates.append((block_text[w], probes.item[mine[p]], block_start[w] - probes.offset[mine[p]], near[w, p]))
+            product = window @ probes.vector[mine].T
+            np.maximum(product, whole[:, low:high], out=product)
+            hits = np.flatnonzero(product >= least)  # near enough before rounding
+            w, p = np.divmod(hits, len(mine))
+            near = product.ravel()[hits] / length[w]
+            w, p, near = (x[near >= cosine] for x in (w, p, near))
+            candidates.append((block_text[w], probes.item[mine[p]], block_start[w] - probes.offset[mine[p]], near))
     found_text, found_item, places, near = (np.concatenate(x) for x in zip(*candidates, strict=True))
+    if not len(places):
+        return
+    # Most places share an item's vocabulary and no stretch with it. A text none of whose places can hold enough of an
+    # item is not compared with it; an item of several pieces is compared as it is.
+    sizes = np.array([len(w) for w in probes.words])[found_item]
+    slack = np.maximum(2 * BLOCK, sizes // 2)
+    low, high = np.maximum(at[found_text], places - slack), np.minimum(at[found_text + 1], places + sizes + slack)
+    enough = sizes > PROBE_WORDS
+    short = np.flatnonzero(~enough)
+    bound = subsequence_bounds(names, low[short], high[short], np.searchsorted(probes.item, found_item[short]), probes)
+    enough[short] = bound / sizes[short] >= lcs
+    pair = found_text * len(probes.words) + found_item
+    open_ = np.isin(pair, pair[enough])
+    found_text, found_item, places, near = (x[open_] for x in (found_text, found_item, places, near))
     if not len(places):
         return
     best: dict[tuple[int, int], tuple] = {}
@@ -408,7 +479,7 @@ class LeakFinder:
 
     def __call__(self, texts: list[str | None]) -> Iterator[tuple]:
         texts = [t or "" for t in texts]
-        for a, b in text_batches(texts, 1_000_000):
+        for a, b in text_batches(texts, SEARCH_BYTES):
             for text, item, *rest in find_leaks(texts[a:b], self.probes, self.embed, self.weight, self.cosine, self.lcs, self.answer):
                 yield (text + a, self.ids[item], *rest)
 

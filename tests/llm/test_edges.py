@@ -57,6 +57,36 @@ def test_a_long_text_is_searched_to_its_end(spark):
     assert leak.doc_id == 1 and abs(leak.start_word - 60_000) <= decontaminate.BLOCK
 
 
+def test_places_that_cannot_hold_an_item_are_not_compared(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    # Texts and items share one vocabulary; every fifth text holds an item, with every seventh word another one.
+    passage = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 120, n))
+    items = [(k, passage(int(n))) for k, n in enumerate([1, 3, *rng.integers(15, 64, 36), 64, 65, 150])]
+    texts = [passage(int(n)) for n in rng.integers(1, 900, 150)] + [None, ""]
+    for k, (_, item) in enumerate(items[2:]):
+        texts[5 * (k % 30)] += " " + " ".join("z" if j % 7 == 3 else w for j, w in enumerate(item.split())) + " " + passage(20)
+    finder = decontaminate.fit_leak_finder(docs(spark, [(k, t, "en") for k, t in enumerate(texts)]), spark.createDataFrame(items, "item_id long, text string"))
+    plain, calls = decontaminate.common_subsequence, []
+    monkeypatch.setattr(decontaminate, "common_subsequence", lambda a, b: calls.append(len(a) <= decontaminate.PROBE_WORDS) or plain(a, b))
+    found, compared = sorted(finder(texts)), sum(calls)
+    assert {k for _, k, *_ in found} >= set(range(2, len(items)))
+    monkeypatch.setattr(decontaminate, "subsequence_bounds", lambda names, low, high, pieces, probes: np.full(len(pieces), 64))
+    calls.clear()
+    assert sorted(finder(texts)) == found and compared * 4 < sum(calls)
+
+
+def test_bounds_are_never_below_the_subsequence():
+    rng = np.random.default_rng(6)
+    passage = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 30, n))
+    probes = decontaminate.make_probes([(k, passage(k)) for k in range(1, 65)])
+    codes = decontaminate.word_codes([passage(3000)])[0]
+    low = rng.integers(0, 2900, 6000)
+    high, pieces = low + rng.integers(0, 100, 6000), rng.integers(0, 64, 6000)
+    got = decontaminate.subsequence_bounds(decontaminate.features(codes), low, high, pieces, probes)
+    want = [decontaminate.common_subsequence(probes.pieces[p].tolist(), codes[a:b].tolist()) for a, b, p in zip(low, high, pieces, strict=True)]
+    assert (got >= want).all() and np.mean(got - want) < 1
+
+
 def test_product_rows_do_not_change_the_space(spark, monkeypatch):
     documents = docs(spark, [(i, words(200, i), "en") for i in range(30)])
     benchmark = spark.createDataFrame([(i, words(40, 100 + i)) for i in range(5)], "item_id long, text string")
