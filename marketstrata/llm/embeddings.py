@@ -210,7 +210,7 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.98) -> tuple[DataFrame
     # About SAMPLE_PER_CENTRE vectors a centre, chosen by hash; the expected number is bounded for each label.
     sample = (
         reps.join(sizes, "group")
-        .filter(F.pmod(F.xxhash64("rep"), F.lit(1_000_003)) < F.col("k") * (SAMPLE_PER_CENTRE * 1_000_003) / F.col("size") + 1)
+        .filter(F.pmod(F.xxhash64("rep"), F.lit(1_000_003)) < F.col("k") * F.lit(float(SAMPLE_PER_CENTRE * 1_000_003)) / F.col("size") + 1)
         .select("group", F.col("rep").alias("vec_id"), "unit", "k")
     )
     centres = stored(sample.groupBy("group").applyInPandas(_centres, "group string, centre int, unit array<double>"), "centres")

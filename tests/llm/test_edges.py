@@ -169,6 +169,15 @@ def test_vectors_are_audited_by_their_query(spark, tmp_path, monkeypatch):
         queries.op1_embedding_dedup(spark, str(tmp_path))
 
 
+def test_vectors_of_many_centres(spark, monkeypatch):
+    # 120 centres, as a label of 60,000 vectors has: the sample's size must not overflow an integer.
+    monkeypatch.setattr(embeddings, "SHARD_ROWS", 6)
+    rng = np.random.default_rng(17)
+    rows = [(k, [float(x) for x in v], 1) for k, v in enumerate(np.repeat(rng.normal(size=(120, 16)), 2, axis=0) + 0.01 * rng.normal(size=(240, 16)))]
+    got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert {tuple(r)[:4] for r in got} == {(k, 1, k // 2 * 2, k % 2 == 0) for k in range(240)}
+
+
 def test_packing_an_empty_table(empty):
     assert packing.pack_documents(empty, queries.tokenizer_path()).count() == 0
 
