@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -178,6 +180,24 @@ def test_vectors_of_many_centres(spark, monkeypatch):
     assert {tuple(r)[:4] for r in got} == {(k, 1, k // 2 * 2, k % 2 == 0) for k in range(240)}
 
 
+def test_search_past_a_node_of_many_neighbours(monkeypatch):
+    # Node 0 leads to all others; with lists padded to its length this search took 328 MB.
+    rng = np.random.default_rng(19)
+    vectors = np.repeat(rng.normal(size=(300, 16)), 5, axis=0) + 0.02 * rng.normal(size=(1500, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    ring = np.stack(((np.arange(1, 1500) + 1) % 1500, (np.arange(1, 1500) - 1)), axis=1).ravel()
+    degrees, links = np.array([1499] + [2] * 1499), np.concatenate((np.arange(1, 1500), ring))
+    want = {(int(q), int(v)) for q, v in zip(*np.nonzero(vectors @ vectors.T >= 0.98), strict=True)}
+    for edges in (embeddings.SEARCH_EDGES, 100):
+        monkeypatch.setattr(embeddings, "SEARCH_EDGES", edges)
+        tracemalloc.start()
+        found = [(int(x), int(y)) for q, v in embeddings.range_search(vectors, degrees, links, np.array([0]), vectors, np.arange(1500), 0.98) for x, y in zip(q, v, strict=True)]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(found) == len(set(found)) and set(found) == want
+        assert most < 150e6
+
+
 def test_packing_an_empty_table(empty):
     assert packing.pack_documents(empty, queries.tokenizer_path()).count() == 0
 
